@@ -427,4 +427,4 @@ def extract_features(
 
 def feature_rows(df: DataFrame, *keys: str) -> DataFrame:
     """Long form (keys..., feature, value) of the feature map."""
-    return df.select(*keys, F.explode("features").alias("feature", "value"))
+    return df.select(*keys, F.inline(F.map_entries("features")).alias("feature", "value"))

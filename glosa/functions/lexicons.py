@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glosa.functions import word_lists as W
-from glosa.functions.text import STOPWORD_LANGUAGE
+from glosa.functions.text import STOPWORD_LANGUAGE, strip
 
 MAX_TERMS = 50_000
 
@@ -150,7 +150,7 @@ def sql_in(variable: str, terms: Iterable[str]) -> str:
 # ---------------------------------------------------------------- file loaders
 def load_flat(spark: SparkSession, path: str) -> DataFrame:
     """One term per line; blank lines and lines opening with ``#``, ``;`` or ``[`` are skipped."""
-    line = F.trim(F.col("value"))
+    line = strip(F.col("value"))
     return (
         spark.read.text(path)
         .filter((line != "") & ~F.substring(line, 1, 1).isin("#", ";", "["))
@@ -165,7 +165,7 @@ def load_sections(spark: SparkSession, path: str) -> DataFrame:
     Each file is read as one row, so the header of a term is found inside the row.
     """
     lines = F.filter(
-        F.transform(F.split("value", r"\r?\n"), F.trim),
+        F.transform(F.split("value", r"\r?\n"), strip),
         lambda x: (x != "") & ~x.startswith(";"),
     )
     parts = F.transform(

@@ -176,6 +176,11 @@ def collapse_punctuation(text: Column) -> Column:
     return F.regexp_replace(marks, r"\.{2,}", ".")
 
 
+def strip(text: Column) -> Column:
+    """Without white space of any kind at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+
+
 def collapse_space(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
@@ -313,7 +318,7 @@ def normalize_keep_accents(text: Column, lower: bool = True, names: Column | Non
 def merge_key(username: Column, comment: Column) -> Column:
     """Key under which two sources are taken to hold the same review."""
     return F.struct(
-        F.lower(F.trim(F.coalesce(username, F.lit("unknown")))).alias("ukey"),
+        F.lower(strip(F.coalesce(username, F.lit("unknown")))).alias("ukey"),
         normalize_text(F.coalesce(comment, F.lit(""))).alias("ckey"),
     )
 

@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from glosa.functions.text import let
 
 
+def elements(items: str | Column) -> Column:
+    """The array to explode.
+
+    Exploding a bare column makes the optimizer add a size filter, which it then
+    pushes below the projection that computes the array: everything behind the
+    column would run twice.  An expression is left alone.
+    """
+    column = F.col(items) if isinstance(items, str) else items
+    return F.coalesce(column, F.slice(column, 1, 0))
+
+
 def positions(marks: Column, mask: int) -> Column:
     """Zero-based positions of the tokens whose mark meets ``mask``."""
     return F.array_compact(F.transform(marks, lambda m, i: F.when(m.bitwiseAND(F.lit(mask)) != 0, i)))

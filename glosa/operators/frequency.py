@@ -11,17 +11,18 @@ from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from glosa.functions import tokens as K
-from glosa.operators.skew import running_offset
+from glosa.operators.skew import block_of, running_offset
+from glosa.session import cut_lineage
 
 
 def token_stream(df: DataFrame, *keep: str, tokens: str = "tokens") -> DataFrame:
     """One row per token with its position in the document."""
-    return df.select(*keep, F.posexplode(tokens).alias("pos", "token"))
+    return df.select(*keep, F.posexplode(K.elements(tokens)).alias("pos", "token"))
 
 
 def token_counts(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return (
-        df.select(F.explode(tokens).alias("t"))
+        df.select(F.explode(K.elements(tokens)).alias("t"))
         .groupBy(F.lower("t").alias("token"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -38,7 +39,7 @@ def hapaxes(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 def word_lengths(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     return (
-        df.select(F.explode(tokens).alias("t"))
+        df.select(F.explode(K.elements(tokens)).alias("t"))
         .groupBy(F.length("t").cast("bigint").alias("length"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -50,7 +51,7 @@ def lexical_diversity(df: DataFrame, *groups: str, tokens: str = "tokens", appro
     Exact types are counted in two steps, first per (group, token), so one large
     group is spread over all tasks.
     """
-    stream = df.select(*groups, F.explode(tokens).alias("token"))
+    stream = df.select(*groups, F.explode(K.elements(tokens)).alias("token"))
     if approximate:
         agg = stream.groupBy(*groups).agg(
             F.count(F.lit(1)).alias("tokens"), F.approx_count_distinct("token").alias("types")
@@ -83,6 +84,7 @@ def ngrams_across_documents(
     filled = df.filter(F.size(tokens) > 0).select(
         game, row_id, F.transform(tokens, F.lower).alias("tk"), F.lit(1).alias("one")
     )
+    filled = cut_lineage(filled)  # read several times below
     ranked = running_offset(filled, game, row_id, "one", "rank")
     lookahead = n - 1
     heads = ranked.select(
@@ -135,8 +137,8 @@ def dispersion(
             lambda h: h["word"].isin(*wanted),
         ).alias("hits"),
     )
-    placed = running_offset(lengths, game, row_id, "len", "start")
-    return placed.select(F.explode("hits").alias("h"), "start").select(
+    placed = running_offset(cut_lineage(lengths), game, row_id, "len", "start")
+    return placed.select(F.explode(K.elements("hits")).alias("h"), "start").select(
         (F.col("start") + F.col("h.pos")).alias("offset"), F.col("h.word").alias("word")
     )
 
@@ -174,8 +176,6 @@ def join_texts(df: DataFrame, group: str, row_id: str, text: Column) -> DataFram
     A whole group in one string would have to pass through one task; chunks keep
     the order, and writing them in order gives the joined text.
     """
-    from glosa.operators.skew import block_of
-
     return (
         df.groupBy(group, block_of(F.col(row_id), 1024).alias("chunk"))
         .agg(F.sort_array(F.collect_list(F.struct(F.col(row_id).alias("i"), text.alias("t")))).alias("rows"))

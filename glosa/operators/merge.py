@@ -155,7 +155,8 @@ def build_metadata(games: DataFrame, ranks: DataFrame, stats: DataFrame) -> Data
     strings = F.array().cast("array<string>")
 
     def field(name: str, out: str | None = None, default: Column | None = None) -> Column:
-        value = F.col(name) if name in have else F.lit(None).cast("string")
+        missing = F.lit(None).cast("string" if default is None else "array<string>")
+        value = F.col(name) if name in have else missing
         return (value if default is None else F.coalesce(value, default)).alias(out or name)
 
     expansion = F.coalesce(number_or_null(F.col("is_expansion")), F.lit(0.0)) != 0 if "is_expansion" in have else F.lit(False)

@@ -40,18 +40,13 @@ def block_of(row_id: Column, width: int = BLOCK_WIDTH) -> Column:
     return F.floor(row_id / F.lit(width)).cast("bigint")
 
 
-def _same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
-
-
 def _join(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``names`` that lets null match null and keeps one copy of the keys."""
     if not names:
         return left.crossJoin(right)  # right is one row: there is a single, global group
-    out = left.join(right, _same(left, right, names), how)
-    for name in names:
-        out = out.drop(right[name])
-    return out
+    renamed = right.withColumnsRenamed({n: f"_right_{n}" for n in names})
+    same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_right_{n}")) for n in names])
+    return left.join(renamed, same, how).drop(*[f"_right_{n}" for n in names])
 
 
 def assign_slots(
