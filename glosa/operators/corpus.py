@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glosa.functions.text import number_or_null
 from glosa.operators import frequency as Q
-from glosa.operators.skew import block_of, first_n
+from glosa.operators.skew import first_n, id_blocks
 
 CLASSIFICATION_FIELDS = ("mechanics", "categories", "families")
 
@@ -213,7 +213,7 @@ class Corpus:
 
     def first_per_game(self, n: int) -> DataFrame:
         key = F.col("review_id")
-        return first_n(self.documents, ["game_id"], n, key, key, block_of(key))
+        return first_n(self.documents, ["game_id"], n, key, key, id_blocks(self.documents, "review_id"))
 
 
 def valid_document(min_tokens: int = 3):

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 KEY_SPACE = 1 << 32
 DEFAULT_BUCKETS = 4096
-BLOCK_WIDTH = 1 << 16
 
 
 def portable_key(row_id: Column, seed: int = 42) -> Column:
@@ -35,9 +34,19 @@ def key_bucket(key: Column, buckets: int = DEFAULT_BUCKETS) -> Column:
     return F.floor(key / F.lit(KEY_SPACE // buckets)).cast("bigint")
 
 
-def block_of(row_id: Column, width: int = BLOCK_WIDTH) -> Column:
-    """Order-keeping bucket of a unique integer id: at most ``width`` rows each."""
-    return F.floor(row_id / F.lit(width)).cast("bigint")
+def block_of(row_id: Column, width: int) -> Column:
+    """Order-keeping block of a unique non-negative id: at most ``width`` (a power of two) rows each."""
+    return F.shiftright(row_id, width.bit_length() - 1)
+
+
+def id_blocks(df: DataFrame, row_id: str, bits: int = 16) -> Column:
+    """Order-keeping block of an id, about ``2**bits`` blocks over the ids present.
+
+    The block width follows the largest id, so dense and hashed ids both give
+    blocks that are few enough to list per group and small enough to sort.
+    """
+    top = df.agg(F.max(row_id)).first()[0] or 0
+    return F.shiftright(F.col(row_id), max(0, int(top).bit_length() - bits))
 
 
 def _join(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
@@ -111,14 +120,14 @@ def first_n(
 
 
 def running_offset(
-    df: DataFrame, group: str, row_id: str, value: str, out: str, width: int = BLOCK_WIDTH
+    df: DataFrame, group: str, row_id: str, value: str, out: str, bits: int = 16
 ) -> DataFrame:
     """Sum of ``value`` over all rows before this one, in the order (group, row_id).
 
-    Three levels: inside a block of ``width`` ids, over the blocks of a group,
+    Three levels: inside a block of ids, over the blocks of a group,
     over the groups.  Only the last runs in one task, on one row per group.
     """
-    rows = df.withColumn("_blk", block_of(F.col(row_id), width))
+    rows = df.withColumn("_blk", id_blocks(df, row_id, bits))
     blocks = rows.groupBy(group, "_blk").agg(F.sum(value).alias("_s"))
     in_group = Win.partitionBy(group).orderBy("_blk").rowsBetween(Win.unboundedPreceding, 0)
     blocks = blocks.withColumn("_block_off", F.sum("_s").over(in_group) - F.col("_s"))
