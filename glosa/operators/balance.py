@@ -6,7 +6,6 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from glosa.functions.lexicons import MAX_TERMS, sql_in
@@ -249,8 +248,3 @@ def shuffled(df: DataFrame, row_id: str = "review_id", seed: int = 42) -> DataFr
     key = F.xxhash64(F.lit(seed), F.col(row_id))
     return df.orderBy(key, row_id)
 
-
-def class_shares(df: DataFrame, *groups: str) -> DataFrame:
-    """Count and share of each group."""
-    counts = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Win.partitionBy()))

@@ -51,8 +51,6 @@ def id_blocks(df: DataFrame, row_id: str, bits: int = 16) -> Column:
 
 def _join(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``names`` that lets null match null and keeps one copy of the keys."""
-    if not names:
-        return left.crossJoin(right)  # right is one row: there is a single, global group
     renamed = right.withColumnsRenamed({n: f"_right_{n}" for n in names})
     same = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_right_{n}")) for n in names])
     return left.join(renamed, same, how).drop(*[f"_right_{n}" for n in names])

@@ -174,11 +174,12 @@ SELECT game_id, rank AS overall_rank, round(average, 6) AS avg_rating,
 FROM meta""", META))
 def metadata_lookups(spark, sf):
     c = C.Corpus(V.reviews(spark, sf), _metadata(spark, sf))
-    only = c.overall_rank().select(F.col("overall_rank").alias("only_rank"))  # null: many items
+    only = c.overall_rank().scalar()  # null: many items
     return c.games.select(
         "game_id", "rankings.overall_rank", F.round("stats.avg_rating", 6).alias("avg_rating"),
         *[F.array_join(f"classifications.{k}", "|").alias(k) for k in C.CLASSIFICATION_FIELDS],
-    ).crossJoin(F.broadcast(only))  # one row
+        only.alias("only_rank"),
+    )
 
 
 @query(P.with_reviews("""

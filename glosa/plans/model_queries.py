@@ -170,9 +170,8 @@ w AS (SELECT review_id, idx, tf * idf AS x FROM terms JOIN vocab USING (term))""
 @query(lambda: P.with_docs("SELECT review_id, idx AS idx, round(x / sqrt(sum(x * x) OVER (PARTITION BY review_id)), 6) AS value FROM w", TFIDF.strip()))
 def tfidf_topk(spark, sf):
     docs = cut_lineage(V.documents(spark, sf).select("review_id", "lang", "tokens"))
-    terms = Vx.document_terms(docs, "review_id")
-    vocabulary = Vx.fit_vocabulary(terms, docs.count(), 300)
-    rows = Vx.vector_rows(Vx.tfidf(terms, vocabulary, "review_id", 300), "review_id")
+    vocabulary = cut_lineage(Vx.fit_vocabulary(docs, docs.count(), 300))
+    rows = Vx.vector_rows(Vx.tfidf(docs, vocabulary, "review_id", 300), "review_id")
     return rows.select("review_id", F.col("idx").cast("bigint").alias("idx"), F.round("value", 6).alias("value"))
 
 

@@ -66,7 +66,7 @@ def reviews_of(text: Column) -> Column:
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
     """(game_id, seq, username, rating, comment, ts) of every file below ``path``."""
     files = _or_empty(
-        spark, StructType().add("game_id", "bigint").add("value", "string"),
+        spark, StructType().add("game_id", "long").add("value", "string"),
         lambda: spark.read.text(path, wholetext=True).select(file_id().alias("game_id"), "value"),
     )
     return files.select("game_id", F.posexplode(reviews_of(F.col("value"))).alias("seq", "r")).select(
