@@ -34,10 +34,10 @@ def _ratio(part: Column, whole: Column) -> Column:
 def polarity(marks: Column, lexicon: Lexicon) -> Column:
     """Struct pos_count, neg_count, total, pos_ratio."""
     return let(
-        F.struct(
-            K.count_marked(marks, lexicon.mask("positive")).alias("p"),
-            K.count_marked(marks, lexicon.mask("negative")).alias("n"),
-        ),
+        let(K.nonzero(marks), lambda hits: F.struct(
+            K.count_marked(hits, lexicon.mask("positive")).alias("p"),
+            K.count_marked(hits, lexicon.mask("negative")).alias("n"),
+        )),
         lambda s: F.struct(
             s["p"].alias("pos_count"),
             s["n"].alias("neg_count"),
@@ -85,13 +85,13 @@ def hedging(marks: Column, lexicon: Lexicon) -> Column:
         F.lit(0),
         lambda a, i: a + K.count_marked(K.around(marks, i, HEDGE_WINDOW, HEDGE_WINDOW), sentiment),
     )
-    counts = F.struct(
-        K.count_marked(marks, hedges).alias("all"),
-        *[K.count_marked(marks, lexicon.mask(h)).alias(h) for h in HEDGES],
-        (K.count_marked(marks, lexicon.mask("positive"))
-         + K.count_marked(marks, lexicon.mask("negative"))).alias("sent"),
+    counts = let(K.nonzero(marks), lambda hits: F.struct(
+        K.count_marked(hits, hedges).alias("all"),
+        *[K.count_marked(hits, lexicon.mask(h)).alias(h) for h in HEDGES],
+        (K.count_marked(hits, lexicon.mask("positive"))
+         + K.count_marked(hits, lexicon.mask("negative"))).alias("sent"),
         near.alias("near"),
-    )
+    ))
     return let(
         counts,
         lambda c: F.struct(
@@ -289,16 +289,18 @@ def dependency_shape(depths: Column) -> Column:
 
 
 # ------------------------------------------------------------- sparse features
-def prefixed_counts(prefix: str, words: Column) -> Column:
-    """Array of (feature, value) pairs ``prefix=word`` -> count."""
+def counted(words: Column) -> Column:
+    """Array of (feature, value) pairs from feature names with repeats."""
     return F.transform(
         K.term_counts(words),
-        lambda c: F.struct(
-            F.concat(F.lit(prefix + "="), c["term"]).alias("feature"), c["n"].cast("double").alias("value")
-        ),
+        lambda c: F.struct(c["term"].alias("feature"), c["n"].cast("double").alias("value")),
     )
 
 
+def _prefixed(prefix: str, words: Column) -> Column:
+    return F.transform(words, lambda w: F.concat(F.lit(prefix), w))
+
+
 def word_features(tokens: Column, marks: Column, lexicon: Lexicon) -> Column:
     """All open-ended ``prefix=word`` counts of a row as (feature, value) pairs."""
     names = {
@@ -315,23 +317,24 @@ def word_features(tokens: Column, marks: Column, lexicon: Lexicon) -> Column:
         "subjectivity.marker_word": ["subjective"],
         **{f"domain.{s}": [f"domain.{s}"] for s in lexicon.domain},
     }
-    groups = {p: K.marked_words(tokens, marks, lexicon.mask(*n)) for p, n in names.items()}
-    groups["hedge.nearby_sentiment_words"] = nearby_sentiment_words(tokens, marks, lexicon)
-    groups["negation.scope_word"] = negation_scope(tokens, marks, lexicon)
-    return F.concat(*[prefixed_counts(p, w) for p, w in groups.items()])
+    pairs = F.zip_with(tokens, marks, lambda t, m: F.struct(t.alias("t"), m.alias("m")))
+    hits = F.filter(pairs, lambda h: h["m"] != 0)
+    labelled = F.flatten(F.transform(hits, lambda h: F.array_compact(F.array(*[
+        F.when(h["m"].bitwiseAND(F.lit(lexicon.mask(*n))) != 0, F.concat(F.lit(p + "="), h["t"]))
+        for p, n in names.items()
+    ]))))
+    near = _prefixed("hedge.nearby_sentiment_words=", nearby_sentiment_words(tokens, marks, lexicon))
+    scope = _prefixed("negation.scope_word=", negation_scope(tokens, marks, lexicon))
+    return counted(F.concat(labelled, near, scope))
 
 
 def entity_features(entities: Column) -> Column:
     """``entity.text=``, ``entity.label=`` and ``entity.count.`` pairs."""
-    texts = F.transform(entities, lambda e: F.lower(e["text"]))
-    labels = F.transform(entities, lambda e: e["label"])
-    counts = F.transform(
-        K.term_counts(F.transform(labels, F.lower)),
-        lambda c: F.struct(
-            F.concat(F.lit("entity.count."), c["term"]).alias("feature"), c["n"].cast("double").alias("value")
-        ),
-    )
-    return F.concat(prefixed_counts("entity.text", texts), prefixed_counts("entity.label", labels), counts)
+    return counted(F.concat(
+        F.transform(entities, lambda e: F.concat(F.lit("entity.text="), F.lower(e["text"]))),
+        F.transform(entities, lambda e: F.concat(F.lit("entity.label="), e["label"])),
+        F.transform(entities, lambda e: F.concat(F.lit("entity.count."), F.lower(e["label"]))),
+    ))
 
 
 # -------------------------------------------------------------------- assembly

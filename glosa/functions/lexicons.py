@@ -93,20 +93,24 @@ class Lexicon:
             return W.SUBJECTIVITY_MARKERS
         return self.domain[name[7:]] if name.startswith("domain.") else getattr(self, name)
 
-    def mark_sql(self, variable: str) -> str:
-        """SQL bit mask of the sets a word belongs to: one look-up per set and token."""
-        parts = [
-            f"IF({sql_in(variable, self.terms_of(n))}, {b}L, 0L)"
-            for n, b in self.bits().items() if self.terms_of(n)
-        ]
-        return " | ".join(parts) if parts else "0L"
+    def mark_sql(self, variable: str, *names: str) -> str:
+        """SQL bit mask of the sets (all, or the named ones) a word belongs to.
+
+        Most words belong to none: one look-up in the union settles those.
+        """
+        bits = {n: b for n, b in self.bits().items() if self.terms_of(n) and (not names or n in names)}
+        if not bits:
+            return "0L"
+        union = dict.fromkeys(t for n in bits for t in self.terms_of(n))
+        parts = " | ".join(f"IF({sql_in(variable, self.terms_of(n))}, {b}L, 0L)" for n, b in bits.items())
+        return f"IF({sql_in(variable, union)}, {parts}, 0L)"
 
     def valence_sql(self, variable: str) -> str:
         by_score: dict[float, list[str]] = {}
         for term, score in self.valence.items():
             by_score.setdefault(float(score), []).append(term)
         cases = "".join(f" WHEN {sql_in(variable, ts)} THEN {s!r}D" for s, ts in by_score.items())
-        return f"CASE{cases} ELSE 0.0D END" if cases else "0.0D"
+        return f"IF({sql_in(variable, self.valence)}, CASE{cases} ELSE 0.0D END, 0.0D)" if cases else "0.0D"
 
     def marks(self, tokens: str) -> Column:
         """Array of marks parallel to the token array column ``tokens``."""

@@ -7,6 +7,7 @@ ASCII-only unless ``(?U)`` is set; reviews are multilingual, so it always is.
 
 from __future__ import annotations
 
+import html
 import html.entities
 import json
 import unicodedata
@@ -73,20 +74,19 @@ def _entity_tables() -> tuple[dict[str, str], list[str]]:
     return named, bare
 
 
+def _special_references() -> dict[str, str]:
+    """What the standard makes of control characters, their code page and non-characters."""
+    odd = [*range(0xA0), *range(0xFDD0, 0xFDF0)]
+    odd += [plane * 0x10000 + low for plane in range(17) for low in (0xFFFE, 0xFFFF)]
+    return {str(n): html.unescape(f"&#{n};") for n in odd if n < 32 or n > 126}
+
+
 def _code_point(number: Column) -> Column:
     """The character of a numeric reference, by the rules of the HTML standard."""
-    cp1252 = {
-        str(b): bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)
-    }
-    low_controls = number.between(1, 8) | (number == 11) | number.between(14, 31) | (number == 127)
-    non_char = number.between(0xFDD0, 0xFDEF) | (F.pmod(number, F.lit(0x10000)) >= 0xFFFE)
-    return (
-        F.when(number.isNull() | (number == 0) | (number > 0x10FFFF), F.lit("�"))
-        .when(number.between(0xD800, 0xDFFF), F.lit("�"))
-        .when(number.between(0x80, 0x9F), F.element_at(literal_map(cp1252), number.cast("string")))
-        .when(low_controls | non_char, F.lit(""))
-        .otherwise(F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
-    )
+    valid = (number < 0xD800) | ((number > 0xDFFF) & (number <= 0x10FFFF))
+    char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+    special = F.try_element_at(literal_map(_special_references()), number.cast("string"))
+    return F.coalesce(special, F.when(valid, char), F.lit("\ufffd"))
 
 
 def unescape_html(text: Column) -> Column:

@@ -24,6 +24,11 @@ def positions(marks: Column, mask: int) -> Column:
     return F.array_compact(F.transform(marks, lambda m, i: F.when(m.bitwiseAND(F.lit(mask)) != 0, i)))
 
 
+def nonzero(marks: Column) -> Column:
+    """Marks of the tokens that belong to any set: usually a small part of a text."""
+    return F.filter(marks, lambda m: m != 0)
+
+
 def count_marked(marks: Column, mask: int) -> Column:
     return F.size(F.filter(marks, lambda m: m.bitwiseAND(F.lit(mask)) != 0))
 

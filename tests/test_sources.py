@@ -128,3 +128,49 @@ def test_grids():
 
 def test_every_query_has_a_function_and_most_have_sql():
     assert len(catalog.QUERIES) > 70 and set(catalog.oracle_sql()) <= set(catalog.QUERIES)
+
+
+def _vectors(spark):
+    rows = [(i, ["positive", "negative"][i % 2], "en", [["good", "fun"], ["bad", "dull"]][i % 2] + [f"w{i}"], {"s": float(1 - 2 * (i % 2))})
+            for i in range(24)]
+    df = spark.createDataFrame(rows, "review_id bigint, label string, lang string, tokens array<string>, features map<string,double>")
+    return Ml.ReviewVectorizer(max_features=20).fit(df).transform(df)
+
+
+def test_tuning_picks_a_grid_point(spark):
+    model, params, score = Ml.tune(
+        _vectors(spark), "naive_bayes", "ngrams", ["positive", "negative"], folds=2, grid={"smoothing": [0.5, 1.0]})
+    assert params["smoothing"] in (0.5, 1.0) and score > 0.8
+    assert model.transform(_vectors(spark)).filter("label <> predicted").count() == 0
+
+
+def test_vectorizer_state_survives_saving(spark, tmp_path):
+    rows = [(1, "en", ["good", "fun"], {"s": 1.0}), (2, "en", ["bad"], {"t": 2.0})]
+    df = spark.createDataFrame(rows, "review_id bigint, lang string, tokens array<string>, features map<string,double>")
+    vec = Ml.ReviewVectorizer(max_features=10).fit(df)
+    vec.save(str(tmp_path / "v"))
+    again = Ml.ReviewVectorizer(max_features=10).load(spark, str(tmp_path / "v"))
+    new = spark.createDataFrame([(9, "en", ["good", "unseen"], {"s": 4.0, "unseen": 1.0})], df.schema)
+    a, b = vec.transform(new).first(), again.transform(new).first()
+    assert a.ngrams == b.ngrams and a.opinion == b.opinion and list(a.opinion.values) == [4.0]
+
+
+def test_reports_and_splits_on_disk(spark, tmp_path):
+    results = spark.createDataFrame([("m1", "ngrams", 0.4), ("m2", "ngrams", 0.9)], "model string, features string, test_composite double")
+    writers.write_results_csv(results, str(tmp_path / "csv"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "csv"))
+    assert [r.model for r in back.collect()] == ["m2", "m1"]
+    assert spark.read.json(writers.write_report(results, str(tmp_path), "x")).count() == 2
+    rows = spark.createDataFrame([(1, "train"), (2, "val"), (3, "test"), (4, "train")], "id bigint, split string")
+    for kind in ("parquet", "json", "csv"):
+        writers.write_splits(rows, str(tmp_path / kind), kind)
+        parts = writers.read_splits(spark, str(tmp_path / kind), None if kind == "parquet" else "id bigint, split string", kind)
+        assert {s: p.count() for s, p in parts.items()} == {"train": 2, "val": 1, "test": 1}
+
+
+def test_large_vocabularies_are_numbered_in_order(spark):
+    from glosa.operators.vectors import number_alphabetically
+
+    words = spark.range(5000).select(F.concat(F.lit("w"), F.hex(F.xxhash64("id"))).alias("w"))
+    rows = number_alphabetically(words, "w").orderBy("idx").collect()
+    assert [r.idx for r in rows] == list(range(5000)) and [r.w for r in rows] == sorted(r.w for r in rows)
