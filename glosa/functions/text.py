@@ -293,8 +293,6 @@ def _markup_to_text(text: Column, names: Column | None) -> Column:
 def normalize_text(text: Column, lower: bool = True, names: Column | None = None) -> Column:
     """Clean a review for matching and tokenising; the result is plain ASCII."""
     out = _markup_to_text(text, names)
-    out = F.regexp_replace(out, r"[\r\n]", " ")
-    out = F.regexp_replace(out, r"[\t\x0B\f]+", " ")
     out = collapse_space(collapse_punctuation(collapse_repeats(out)))
     if lower:
         out = F.lower(out)
@@ -305,8 +303,6 @@ def normalize_text(text: Column, lower: bool = True, names: Column | None = None
 def normalize_keep_accents(text: Column, lower: bool = True, names: Column | None = None) -> Column:
     """Clean a review but keep its accents; only ASCII letters and digits collapse."""
     out = _markup_to_text(text, names)
-    out = F.regexp_replace(out, r"[\r\n]", " ")
-    out = F.regexp_replace(out, r"[\t\x0B\f]+", " ")
     out = collapse_space(collapse_punctuation(collapse_repeats(out, ascii_only=True)))
     if lower:
         out = F.lower(out)
