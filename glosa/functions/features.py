@@ -253,29 +253,41 @@ def entity_summary(entities: Column, tokens: Column, scores: Column) -> Column:
     )
 
 
+def _depths(parent: dict[str, str]) -> dict[str, int]:
+    """Depth of every word of a word -> head map, in one pass over its links.
+
+    A root (own head) has depth 0 and a word under an unknown head depth 1.
+    Words on a loop have the length of the loop; any other word is one deeper
+    than its head.
+    """
+    depth = {w: 0 for w, h in parent.items() if h == w}
+    for start in parent:
+        trail: dict[str, int] = {}
+        node = start
+        while node in parent and node not in depth and node not in trail:
+            trail[node] = len(trail)
+            node = parent[node]
+        path = list(trail)
+        if node in trail:  # the trail ran into itself: a loop not seen before
+            loop = path[trail[node]:]
+            depth.update(dict.fromkeys(loop, len(loop)))
+            path = path[: trail[node]]
+        below = depth.get(node, 0)
+        for up, word in enumerate(reversed(path), start=1):
+            depth[word] = below + up
+    return depth
+
+
 @F.pandas_udf(ArrayType(IntegerType()))
 def head_depths(tokens: pd.Series, heads: pd.Series) -> pd.Series:
     """Steps from each token to its root, following word -> head by text.
 
-    The last head of a repeated word wins; a walk ends at a self-headed or
-    unknown word, at a word already visited, or after ``DEPTH_LIMIT`` + 1 steps.
+    The last head of a repeated word wins; depths end at ``DEPTH_LIMIT`` + 1.
     """
 
-    def row(words, parents) -> list[int]:
-        head_of = dict(zip(words, parents))
-        known: dict[str, int] = {}
-        for word in head_of:
-            seen: set[str] = set()
-            current, depth = word, 0
-            while current in head_of and current not in seen and depth <= DEPTH_LIMIT:
-                seen.add(current)
-                parent = head_of[current]
-                if parent == current:
-                    break
-                depth += 1
-                current = parent
-            known[word] = depth
-        return [known[w] for w in words]
+    def row(words, above) -> list[int]:
+        depth = _depths(dict(zip(words, above)))
+        return [min(depth[w], DEPTH_LIMIT + 1) for w in words]
 
     return pd.Series([row(t, h) for t, h in zip(tokens, heads)])
 

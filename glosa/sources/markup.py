@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from glosa.functions.text import number_or_null
 
+# Element names of the record format, page patterns, placeholder bound.
 GAME_XML = """
 struct<
   name: array<struct<_primary: string, _VALUE: string>>,

@@ -112,6 +112,18 @@ def test_head_depths(spark):
     assert got == [[2, 1, 0], [2, 2], [0, 0], [1]]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abcdefgh"), st.sampled_from("abcdefghz")), max_size=12))
+def test_depths_against_a_plain_walk(pairs):
+    parent = dict(pairs)
+    for word in parent:
+        walk, node = [], word
+        while node in parent and node not in walk and parent[node] != node:
+            walk.append(node)
+            node = parent[node]
+        assert X._depths(parent)[word] == len(walk)
+
+
 def test_long_head_chain_is_capped(spark):
     words = [f"w{i}" for i in range(200)]
     df = spark.createDataFrame([(words, words[1:] + [words[-1]])], "t array<string>, h array<string>")
