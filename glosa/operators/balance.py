@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from glosa.functions.lexicons import MAX_TERMS, sql_in
+from glosa.functions.lexicons import MAX_TERMS
 from glosa.functions.text import is_blank, literal_map
 from glosa.operators.skew import assign_slots, key_bucket, portable_key
 
