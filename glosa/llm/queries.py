@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosa.llm import langid, packing, urls, warc
+from glosa.llm import langid, packing, suffixes, urls, warc
 from glosa.llm.tables import read
 from glosa.session import scratch_dir
 
@@ -24,6 +24,12 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes that stand under a repeated 200-byte string, removed from all documents."""
+    done = suffixes.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through an archive and back."""
     path = scratch_dir(spark, "warc")
@@ -91,6 +97,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_suffixes": op1_suffixes,
     "op3_warc": op3_warc,
     "op8_packing": op8_packing,
     "op9_urls": op9_urls,
