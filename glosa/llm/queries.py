@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosa.llm import langid, packing, suffixes, urls, warc
+from glosa.llm import langid, neardup, packing, suffixes, urls, warc
 from glosa.llm.tables import read
 from glosa.session import scratch_dir
 
@@ -49,6 +49,10 @@ FROM f
 """
 
 
+def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(read(spark, sf_dir, "documents"), width=2)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -99,6 +103,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_suffixes": op1_suffixes,
     "op3_warc": op3_warc,
+    "op4_neardup": op4_neardup,
     "op8_packing": op8_packing,
     "op9_urls": op9_urls,
     "op10_langid": op10_langid,
