@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosa.llm import langid, neardup, packing, suffixes, urls, warc
+from glosa.llm import langid, neardup, ngram_quality, packing, suffixes, urls, warc
 from glosa.llm.tables import read
 from glosa.session import scratch_dir
 
@@ -53,6 +53,15 @@ def op4_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read(spark, sf_dir, "documents"), width=2)
 
 
+def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = ngram_quality.score_documents(read(spark, sf_dir, "documents"), trusted(spark, sf_dir))
+    return done.select("doc_id", "lang", "n", F.exp("score").alias("perplexity"), F.exp("limit").alias("threshold"), "kept")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -104,6 +113,7 @@ QUERIES: dict[str, Query] = {
     "op1_suffixes": op1_suffixes,
     "op3_warc": op3_warc,
     "op4_neardup": op4_neardup,
+    "op5_quality": op5_quality,
     "op8_packing": op8_packing,
     "op9_urls": op9_urls,
     "op10_langid": op10_langid,
