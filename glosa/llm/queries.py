@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosa.llm import langid, neardup, ngram_quality, packing, suffixes, urls, warc
+from glosa.llm import decontaminate, langid, neardup, ngram_quality, packing, passages, spotsigs, suffixes, urls, warc
 from glosa.llm.tables import read
 from glosa.session import scratch_dir
 
@@ -30,6 +30,11 @@ def op1_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per occurrence of a benchmark item; documents without one have no row."""
+    return decontaminate.find_leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages through an archive and back."""
     path = scratch_dir(spark, "warc")
@@ -62,6 +67,15 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "lang", "n", F.exp("score").alias("perplexity"), F.exp("limit").alias("threshold"), "kept")
 
 
+def op6_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with a fuzzy repeated passage; others have no row."""
+    return passages.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+def op7_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.with_edits(read(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -111,9 +125,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_suffixes": op1_suffixes,
+    "op2_decontaminate": op2_decontaminate,
     "op3_warc": op3_warc,
     "op4_neardup": op4_neardup,
     "op5_quality": op5_quality,
+    "op6_passages": op6_passages,
+    "op7_spotsigs": op7_spotsigs,
     "op8_packing": op8_packing,
     "op9_urls": op9_urls,
     "op10_langid": op10_langid,
