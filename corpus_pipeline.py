@@ -13,8 +13,6 @@ columns of ``documents``:
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +31,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    done = suffixes.remove_repeats(docs)
-    # Cuts fall between bytes: what is left of a split character is dropped.
-    text = F.regexp_replace(F.decode(F.col("kept"), "UTF-8"), "�", "")
-    changed = F.when(F.col("n_removed") > 0, text).otherwise(F.col("text"))
-    return done.withColumn("text", changed).withColumn(
-        "n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    done = suffixes.remove_repeats(docs, as_text=True)
+    cut = F.col("n_removed") > 0
+    text = F.when(cut, F.col("kept")).otherwise(F.col("text"))
+    return done.withColumn("text", text).withColumn(
+        "n_chars", F.when(cut, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,6 +59,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = scratch_dir(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(os.path.join(path))
+        stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

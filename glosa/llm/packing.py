@@ -15,6 +15,7 @@ the input are ignored.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
 from zlib import crc32
 
@@ -30,11 +31,23 @@ REMEMBERED = 400_000
 FIELDS = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 
+def _byte_letters() -> list[int]:
+    """Code points that stand for the 256 bytes in byte-level vocabularies: printable ones for themselves."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    table, spare = list(range(256)), 256
+    for b in range(256):
+        if b not in plain:
+            table[b], spare = spare, spare + 1
+    return table
+
+
 class WordTokenizer:
     """Ids of a text as little-endian 32-bit words, remembering the ids of each word.
 
-    The vocabulary never joins text across a blank or a line feed, so the ids of a text
-    are those of its blank-separated parts in order.
+    The vocabulary never joins text across a blank or a line feed, nor a letter with the
+    comma or full stop behind it, so the ids of a text are those of such parts in order.
+    Words of Latin letters skip the general normalising and splitting rules, which leave
+    them whole: they are lower-cased and merged directly.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,19 +57,47 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        self._bytes = dict(enumerate(_byte_letters()))
         self._ids: dict[str, bytes] = {}
+        self._latin: dict[str, bytes] = {}
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array("I", f.ids).tobytes() for f in found]
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of a word of Latin letters."""
+        low = word.lower()
+        ids = self._latin.get(low)
+        if ids is None:
+            form = low if low.isascii() else low.encode().decode("latin-1").translate(self._bytes)
+            ids = self._latin[low] = array("I", [t.id for t in self._model.tokenize(form)]).tobytes()
+        return ids
+
+    def _learn(self, new: set[str]) -> None:
+        if not self._latin:
+            self._latin.update(zip(",.", self._whole([",", "."])))
+        rest = []
+        for word in new:
+            stem, tail = (word[:-1], word[-1]) if word[-1:] in (",", ".") and word[-1:] else (word, "")
+            # Below U+0250 every letter is composed and has one lower-case letter, but for U+0130.
+            if stem.isalpha() and (stem.isascii() or (max(stem) < "\u0250" and "\u0130" not in stem)):
+                self._ids[word] = self._letters(stem) + (self._latin[tail] if tail else b"")
+            else:
+                rest.append(word)
+        for at in range(0, len(rest), 20_000):
+            some = rest[at : at + 20_000]
+            self._ids.update(zip(some, self._whole(some)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         parts = [t.replace("\n", " ").split(" ") for t in texts]
         new = set().union(*parts).difference(self._ids) if parts else set()
         if len(self._ids) + len(new) > REMEMBERED:
             self._ids.clear()
+            self._latin.clear()
             new = set().union(*parts)
-        words = list(new)
-        for at in range(0, len(words), 20_000):
-            some = words[at : at + 20_000]
-            for word, found in zip(some, self._tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self._ids[word] = np.asarray(found.ids, "<u4").tobytes()
+        self._learn(new)
         ids = self._ids.__getitem__
         return [b"".join(map(ids, p)) for p in parts]
 

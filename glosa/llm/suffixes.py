@@ -231,7 +231,12 @@ def repeated_ranges(texts: DataFrame, depth: int, gram: int = GRAM) -> DataFrame
     return found.unionByName(_ranges(singles.where("open").join(twice, ["digit", "part"]), "low", "high", depth))
 
 
-def _remove(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _as_text(kept: pa.Array) -> pa.Array:
+    """Strings; of a character that lost a byte the other bytes are left out."""
+    return pa.array([b.decode("utf-8", "ignore") for b in kept.to_pylist()], pa.string())
+
+
+def _remove(batches: Iterable[pa.RecordBatch], width: int, as_text: bool) -> Iterator[pa.RecordBatch]:
     """Rows with ``width`` columns to pass on, then the text and its ranges -> those columns and ``RESULTS``."""
     for batch in batches:
         data, offsets = utf8(column(batch, "__text"))
@@ -254,12 +259,12 @@ def _remove(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.Record
             pa.large_binary(), len(batch),
             [None, pa.py_buffer(np.concatenate(([0], np.cumsum(size - removed)))), pa.py_buffer(data[~gone])]).cast(pa.binary())
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:width], pa.array(size), pa.array(removed), pa.array(of(first)), kept],
+            [*batch.columns[:width], pa.array(size), pa.array(removed), pa.array(of(first)), _as_text(kept) if as_text else kept],
             [*batch.schema.names[:width], *RESULTS])
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", depth: int = 200) -> DataFrame:
-    """All rows with n_bytes, n_removed, n_spans and ``kept``, the bytes left of the text.
+def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", depth: int = 200, as_text: bool = False) -> DataFrame:
+    """All rows with n_bytes, n_removed, n_spans and ``kept``, the bytes left of the text (or their whole characters).
 
     ``depth`` is at most 255 above ``GRAM``.
     """
@@ -275,7 +280,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", dep
     joined = keyed.join(ranges, (F.col("__u") == F.col("u")) & (F.col("__v") == F.col("v")), "left")
     passed = without(docs, RESULTS).columns
     schema = docs.select(*[quoted(c) for c in passed]).schema
-    for name, kind in zip(RESULTS, ("long", "long", "long", "binary")):
+    for name, kind in zip(RESULTS, ("long", "long", "long", "string" if as_text else "binary")):
         schema = schema.add(name, kind)
     return joined.select(*[quoted(c) for c in passed], "__text", "__ranges").mapInArrow(
-        lambda batches: _remove(batches, len(passed)), schema)
+        lambda batches: _remove(batches, len(passed), as_text), schema)
