@@ -45,7 +45,7 @@ from glosa.session import cut_lineage
 PIECE = 1 << 20
 GRAM = 32
 BLOCK = 16
-GROUP = 1000
+GROUP = 4000
 #: u, v name a text; a run is ``at << 17 | many << 16 | windows << 8 | lead``: place of the first
 #: window, whether the text holds the run again, number of windows, bytes from the first window to the anchor.
 RUN_FIELDS = "u bigint, v int, run bigint, digit bigint, whole bigint"
