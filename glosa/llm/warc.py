@@ -39,6 +39,8 @@ SKIPPABLE = 0x184D2A5E
 TAIL = b"\x00" + struct.pack("<I", 0x8F92EAB1)
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 URN = "urn:page:"
+#: Extension field of records whose target URI is percent-encoded as a whole.
+ESCAPED = "WARC-X-Target-Escaped"
 READ_FIELDS = (
     "bundle string, frame int, frame_offset bigint, frame_bytes bigint, record_offset bigint, page_id bigint, "
     "record_type string, url string, payload_bytes bigint, payload_digest string, refers_to bigint, payload binary"
@@ -68,14 +70,18 @@ def record(page_id, url, payload: bytes, digest: str, refers_to, date: str) -> b
     revisit = refers_to is not None
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http if revisit else http + payload
+    # A header line holds any URL but one with control characters or blanks at its ends.
+    escaped = url is not None and (url != url.strip() or any(ord(c) < 32 or ord(c) == 127 for c in url))
     head = [
         "WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: <{URN}{'' if page_id is None else page_id}>", f"WARC-Date: {date}",
-        f"WARC-Target-URI: {quote(url or '', safe=':/?#[]@!$&()*+,;=-._~%' + chr(39))}",
+        f"WARC-Target-URI: {quote(url) if escaped else url or ''}",
         f"WARC-Payload-Digest: sha256:{digest}", "Content-Type: application/http; msgtype=response",
     ]
     if revisit:
         head += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: <{URN}{refers_to}>"]
+    if escaped:
+        head.append(f"{ESCAPED}: yes")
     head.append(f"Content-Length: {len(block)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
@@ -157,7 +163,7 @@ def parse(bundle: str, frame: int, at: int, size: int, data: bytes) -> Iterator[
             raise ValueError(f"damaged record in {bundle}, frame {frame}")
         ids = [head[k][len(URN) + 1 : -1] if k in head else "" for k in ("WARC-Record-ID", "WARC-Refers-To")]
         page, refers = (int(x) if x else None for x in ids)
-        yield (bundle, frame, at, size, start, page, head["WARC-Type"], unquote(head["WARC-Target-URI"], errors="surrogateescape"),
+        yield (bundle, frame, at, size, start, page, head["WARC-Type"], unquote(head["WARC-Target-URI"]) if ESCAPED in head else head["WARC-Target-URI"],
                full, digest, refers, payload if head["WARC-Type"] == "response" else None)
 
 
