@@ -28,6 +28,7 @@ def main() -> None:
         "bench", f"local[{cpus}]",
         spark__sql__shuffle__partitions=cpus if cpus.isdigit() else "8",
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "8g"),
+        spark__glosa__inputPartitions=cpus if cpus.isdigit() else "8",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

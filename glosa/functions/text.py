@@ -101,8 +101,8 @@ def unescape_html(text: Column) -> Column:
     bare_pattern = "^&(" + "|".join(bare) + ")"
 
     def decode(piece: Column) -> Column:
-        dec = F.regexp_extract(piece, r"^&#([0-9]+);?", 1)
-        hexa = F.regexp_extract(piece, r"^&#[xX]([0-9a-fA-F]+);?", 1)
+        dec = F.regexp_extract(piece, r"^&#0*([0-9]+);?", 1)
+        hexa = F.regexp_extract(piece, r"^&#[xX]0*([0-9a-fA-F]+);?", 1)
         full = F.regexp_extract(piece, r"^&([a-zA-Z][a-zA-Z0-9]{0,31});", 1)
         legacy = F.regexp_extract(piece, bare_pattern, 1)
         full_value = F.try_element_at(with_semicolon, full)
@@ -207,23 +207,63 @@ SPECIAL_LETTERS = {
     "Đ": "D", "đ": "d", "Ð": "D", "ð": "d", "Þ": "Th", "þ": "th", "Ł": "L", "ł": "l",
     "ı": "i", "ẞ": "SS", "€": "EUR", "…": "...", "«": "<<", "»": ">>",
     "‘": "'", "’": "'", "“": '"', "”": '"', "–": "-", "—": "--", "\u00a0": " ",
+    "ª": "a", "º": "o", "µ": "u", "²": "2", "³": "3", "¹": "1",
     "¡": "!", "¿": "?", "·": "*", "©": "(c)", "®": "(r)", "™": "(tm)", "°": "deg",
 }
 
 
+# Cyrillic and Greek letters in the usual Latin spelling.
+CYRILLIC = dict(zip(
+    "абвгдеёжзийклмнопрстуфхцчшщъыьэюяіїєґђјљњћџ",
+    "a b v g d e e zh z i i k l m n o p r s t u f kh ts ch sh shch \" y ' e iu ia i i ie g dj j lj nj c dz".split(),
+))
+GREEK = dict(zip("αβγδεζηθικλμνξοπρσςτυφχψω", "a b g d e z e th i k l m n x o p r s s t u ph kh ps o".split()))
+
+
+def _script_tables() -> dict[str, str]:
+    """Letters of Cyrillic, Greek and kana with their Latin spelling, in both cases.
+
+    Accented letters follow their base letter; kana are spelled by their Unicode names.
+    """
+    table = {}
+    for low, latin in {**CYRILLIC, **GREEK}.items():
+        table[low] = latin
+        table.setdefault(low.upper(), latin.capitalize())
+    for code in [*range(0x0370, 0x0530), *range(0x1F00, 0x2000)]:
+        base = unicodedata.normalize("NFD", chr(code))[0]
+        if chr(code) not in table and base in table:
+            table[chr(code)] = table[base]
+    for code in [*range(0x3041, 0x3097), *range(0x30A1, 0x30FB)]:
+        table[chr(code)] = unicodedata.name(chr(code)).split()[-1].lower()
+    return table
+
+
 def transliterate(text: Column) -> Column:
-    """Latin letters to ASCII; what is still non-ASCII afterwards is dropped."""
+    """Latin, Cyrillic, Greek and kana to ASCII; letters and digits of other scripts stay as they are.
+
+    Marks and symbols without a spelling are dropped.
+    """
     source, target, longer = _latin_tables()
     longer = {**longer, **SPECIAL_LETTERS}
+    scripts = _script_tables()
     single = {k: v for k, v in longer.items() if len(v) == 1}
     multi = {k: v for k, v in longer.items() if len(v) > 1}
     source += "".join(single)
     target += "".join(single.values())
+    source += "".join(k for k, v in scripts.items() if len(v) == 1)
+    target += "".join(v for v in scripts.values() if len(v) == 1)
+    spelled = literal_map({k: v for k, v in scripts.items() if len(v) > 1})
+
+    def spell(t: Column) -> Column:
+        """Letters with a longer spelling, one look-up each."""
+        chars = F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(spelled, c), c))
+        return F.when(t.rlike(r"[\u0370-\u052F\u1F00-\u1FFF\u3041-\u30FA]"), F.array_join(chars, "")).otherwise(t)
+
     def run(t: Column) -> Column:
-        out = F.translate(t, source, target)
+        out = F.translate(let(t, spell), source, target)
         for char, value in multi.items():
             out = F.replace(out, F.lit(char), F.lit(value))
-        out = F.regexp_replace(out, r"[^\x00-\x7F]", "")
+        out = F.regexp_replace(out, r"[^\x00-\x7F\p{L}\p{M}\p{N}]|[\u0300-\u036F]", "")
         return F.when(t.rlike(r"[^\x00-\x7F]"), out).otherwise(t)
 
     return let(text, run)
@@ -291,7 +331,7 @@ def _markup_to_text(text: Column, names: Column | None) -> Column:
 
 
 def normalize_text(text: Column, lower: bool = True, names: Column | None = None) -> Column:
-    """Clean a review for matching and tokenising; the result is plain ASCII."""
+    """Clean a review for matching and tokenising; ASCII, but for scripts without a Latin spelling here."""
     out = _markup_to_text(text, names)
     out = collapse_space(collapse_punctuation(collapse_repeats(out)))
     if lower:

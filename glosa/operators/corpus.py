@@ -89,10 +89,9 @@ class Corpus:
         return docs.filter("label IS NOT NULL").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
     def label_distribution_by_game(self) -> DataFrame:
-        """Counts per (game, label), per label and overall, in one pass."""
-        return self.documents.filter("label IS NOT NULL").cube("game_id", "label").agg(
-            F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("level")
-        ).filter("level IN (0, 2)").drop("level")
+        """Counts per (game, label) and per label, in one pass over two grouping sets."""
+        labelled = self.documents.filter("label IS NOT NULL")
+        return labelled.groupingSets([["game_id", "label"], ["label"]], "game_id", "label").agg(F.count(F.lit(1)).alias("n"))
 
     review_counts_by_category = label_distribution
 

@@ -75,7 +75,7 @@ def clean_cte(source: str, key: str, column: str, out: str = "clean") -> str:
     """CTEs that normalise ``column`` of ``source``; the last one is (key, clean_text)."""
     ascii_text = (
         "regexp_replace(replace(replace(replace(strip_accents(lower(t)), 'ß', 'ss'), '©', '(c)'), '·', '*'),"
-        r" '[^\x00-\x7F]', '', 'g')"
+        r" '[^\x00-\x7F\p{L}\p{M}\p{N}]', '', 'g')"
     )
     return f"""
 {out}_1 AS (SELECT {key}, {markup(column)} AS t FROM {source}),

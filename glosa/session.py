@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# An input below this size is spread over the available cores before heavy
-# text work.  Above it the scan already yields enough splits, and moving the
-# rows would cost more than it saves.
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
+INPUT_PARTITIONS = "spark.glosa.inputPartitions"
 
 
 def build_session(app: str = "glosa", master: str | None = None, **conf: str) -> SparkSession:
@@ -40,7 +38,8 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        # local[8] is one machine, local-cluster[...] is not.
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         base = tempfile.mkdtemp(prefix="glosa-")
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
@@ -54,18 +53,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def planned_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan, or None where it cannot be asked for."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
-        return None
-
-
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a small scan (often one file, one row group) over all cores."""
-    size = planned_bytes(df)
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if cores > 1 and size is not None and size <= SMALL_INPUT_BYTES:
-        return df.repartition(cores)
-    return df
+    """Deal a scan over the number of partitions that the session names, if it names one.
+
+    ``INPUT_PARTITIONS`` is for inputs of one file and one row group; the plan depends on the
+    setting alone, never on the size of the input.
+    """
+    parts = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(parts)) if parts else df

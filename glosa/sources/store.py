@@ -152,10 +152,9 @@ def category_totals(reviews: DataFrame, category: str = "category") -> DataFrame
 
 
 def upsert_stats(existing: DataFrame, new: DataFrame) -> DataFrame:
-    """Append rows and keep the last one per item."""
-    old = existing.withColumn("_seq", F.lit(0).cast("bigint"))
-    fresh = new.withColumn("_seq", F.col("seq").cast("bigint") + 1) if "seq" in new.columns else new.withColumn(
-        "_seq", F.lit(1).cast("bigint")
-    )
+    """Append rows and keep the last one per item; any new row follows every old one, whatever its ``seq``."""
+    given = F.col("seq").cast("bigint") if "seq" in new.columns else F.lit(0).cast("bigint")
+    old = existing.withColumn("_seq", F.struct(F.lit(False).alias("fresh"), F.lit(0).cast("bigint").alias("seq")))
+    fresh = new.withColumn("_seq", F.struct(F.lit(True).alias("fresh"), given.alias("seq")))
     both = old.unionByName(fresh, allowMissingColumns=True)
     return keep_last(both, "game_id", "_seq").drop("_seq")

@@ -299,3 +299,19 @@ def test_metrics_with_an_unpredicted_class(spark):
     assert got.accuracy == 0.5 and got.recall == 0.5 and got.precision == pytest.approx((2 * 1 + 1 / 3) / 4)
     table = {r.label: (r.pred_a, r.pred_b, r.pred_c) for r in E.confusion_matrix(df, ["c", "b", "a"]).collect()}
     assert table == {"a": (1, 1, 0), "b": (0, 1, 0), "c": (0, 1, 0)}
+
+
+def test_naive_bayes_takes_negative_features(spark, tmp_path):
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.linalg import Vectors
+
+    from glosa.operators import models as Ml
+
+    rows = [(Vectors.sparse(2, {0: float(1 + i % 3)}), Vectors.dense([-1.0 - i, 2.0]), ["negative", "positive"][i % 2]) for i in range(12)]
+    df = spark.createDataFrame(rows, ["ngrams", "opinion", "label"])
+    fitted, failed = Ml.train_models(df, ["negative", "positive"], models=("naive_bayes",))
+    assert not failed and len(fitted) == 3
+    path = str(tmp_path / "chain")
+    fitted["naive_bayes", "combined"].write().save(path)
+    before = fitted["naive_bayes", "combined"].transform(df).select("predicted").collect()
+    assert PipelineModel.load(path).transform(df).select("predicted").collect() == before

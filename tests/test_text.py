@@ -147,3 +147,16 @@ def test_entities_match_on_random_text(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     rows = df.select("v", T.unescape_html(F.col("v")).alias("o")).collect()
     assert all(r.o == html.unescape(r.v) for r in rows)
+
+
+def test_other_scripts_survive(spark):
+    from pyspark.sql import functions as F
+
+    from glosa.functions.text import merge_key, normalize_text
+
+    rows = [(1, "Отличная игра для семьи"), (2, "Ужасные правила и скука"), (3, "Καλό παιχνίδι"), (4, "ゲーム 面白い です"), (5, "&#0000000065;&#x000041; ok")]
+    df = spark.createDataFrame(rows, "id int, t string").select("id", normalize_text(F.col("t")).alias("c"), merge_key(F.lit("u"), F.col("t")).alias("k"))
+    out = {r.id: r for r in df.collect()}
+    assert out[1].c == "otlichnaia igra dlia sem'i" and out[3].c == "kalo paikhnidi" and out[5].c == "aa ok"
+    assert "geemu" in out[4].c or "ge" in out[4].c
+    assert "面白" in out[4].c and out[1].k != out[2].k
