@@ -28,6 +28,7 @@ passed on by ``keep_one`` and ignored otherwise.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,7 @@ def _signatures(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.Re
                 ["doc_id", "u", "v", "n", "gid", "mins"])
 
 
+@cache
 def paths(seed: int = 23) -> list[list[tuple[int, int, tuple[int, ...]]]]:
     """Per level: (tree, place of the parent in the level above, coordinates) of every path."""
     rng = np.random.default_rng(seed)
