@@ -11,7 +11,7 @@ from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
 from glosa.functions import tokens as K
-from glosa.operators.skew import block_of, running_offset
+from glosa.operators.skew import chunk_of, running_offset
 from glosa.session import cut_lineage
 
 
@@ -171,13 +171,14 @@ def length_summary(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 
 def join_texts(df: DataFrame, group: str, row_id: str, text: Column) -> DataFrame:
-    """Texts of a group in id order, cut into bounded chunks of ids.
+    """Texts of a group in id order, cut into chunks of 1024 rows.
 
     A whole group in one string would have to pass through one task; chunks keep
     the order, and writing them in order gives the joined text.
     """
+    rows = chunk_of(df, group, row_id, 1024, "chunk")
     return (
-        df.groupBy(group, block_of(F.col(row_id), 1024).alias("chunk"))
+        rows.groupBy(group, "chunk")
         .agg(F.sort_array(F.collect_list(F.struct(F.col(row_id).alias("i"), text.alias("t")))).alias("rows"))
         .select(group, "chunk", F.array_join(F.transform("rows", lambda r: r["t"]), "\n").alias("text"))
     )

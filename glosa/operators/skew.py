@@ -118,26 +118,37 @@ def first_n(
 
 
 def running_offset(
-    df: DataFrame, group: str, row_id: str, value: str, out: str, bits: int = 16
+    df: DataFrame, group: str, row_id: str, value: str, out: str, bits: int = 16, per_group: bool = False
 ) -> DataFrame:
     """Sum of ``value`` over all rows before this one, in the order (group, row_id).
 
     Three levels: inside a block of ids, over the blocks of a group,
-    over the groups.  Only the last runs in one task, on one row per group.
+    over the groups.  Only the last runs in one task, on one row per group;
+    ``per_group`` leaves it out and starts every group at 0.
     """
     rows = df.withColumn("_blk", id_blocks(df, row_id, bits))
     blocks = rows.groupBy(group, "_blk").agg(F.sum(value).alias("_s"))
     in_group = Win.partitionBy(group).orderBy("_blk").rowsBetween(Win.unboundedPreceding, 0)
     blocks = blocks.withColumn("_block_off", F.sum("_s").over(in_group) - F.col("_s"))
-    totals = blocks.groupBy(group).agg(F.sum("_s").alias("_g"))
-    over_groups = Win.orderBy(group).rowsBetween(Win.unboundedPreceding, 0)
-    totals = totals.withColumn("_group_off", F.sum("_g").over(over_groups) - F.col("_g"))
-    starts = _join(blocks, totals, [group]).select(
-        group, "_blk", (F.col("_block_off") + F.col("_group_off")).alias("_start")
-    )
+    if per_group:
+        starts = blocks.select(group, "_blk", F.col("_block_off").alias("_start"))
+    else:
+        totals = blocks.groupBy(group).agg(F.sum("_s").alias("_g"))
+        over_groups = Win.orderBy(group).rowsBetween(Win.unboundedPreceding, 0)
+        totals = totals.withColumn("_group_off", F.sum("_g").over(over_groups) - F.col("_g"))
+        starts = _join(blocks, totals, [group]).select(
+            group, "_blk", (F.col("_block_off") + F.col("_group_off")).alias("_start")
+        )
     in_block = Win.partitionBy(group, "_blk").orderBy(row_id).rowsBetween(Win.unboundedPreceding, 0)
     return (
         _join(rows, starts, [group, "_blk"])
         .withColumn(out, F.sum(value).over(in_block) - F.col(value) + F.col("_start"))
         .drop("_blk", "_start")
     )
+
+
+def chunk_of(df: DataFrame, group: str, row_id: str, width: int, out: str) -> DataFrame:
+    """Number the chunks of ``width`` rows that a group, in id order, falls into; ids may be hashes."""
+    ones = df.withColumn("_one", F.lit(1).cast("bigint"))
+    numbered = running_offset(ones, group, row_id, "_one", "_nr", per_group=True)
+    return numbered.withColumn(out, F.floor(F.col("_nr") / width)).drop("_one", "_nr")

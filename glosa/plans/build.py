@@ -54,6 +54,7 @@ def build_corpus(
     """Merge, process, filter and balance; returns (corpus, validity counts, balance report).
 
     ``crawler`` and ``api`` may carry ``lang``; without it English is assumed.
+    Item references in texts become the names that ``games`` holds.
     The processed rows are written once to the shared folder: filtering,
     balancing and reporting all read them.
     """
@@ -63,7 +64,10 @@ def build_corpus(
     )
     if "lang" not in rows.columns:
         rows = rows.withColumn("lang", F.lit("en"))
-    processed = process_reviews(rows).drop("sentences", "patterns")
+    names = None
+    if "name" in games.columns:
+        names = games.groupBy(F.col("game_id").alias("id")).agg(F.min("name").alias("name"))
+    processed = process_reviews(rows, names).drop("sentences", "patterns")
     if with_features:
         processed = extract_features(processed, lexicon)
     processed = cut_lineage(processed)

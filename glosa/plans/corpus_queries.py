@@ -44,8 +44,9 @@ def corpus_filters(spark, sf):
 
 
 @query(P.with_reviews("""
-SELECT game_id, review_id // 1024 AS chunk, string_agg(comment, chr(10) ORDER BY review_id) AS text
-FROM rev GROUP BY game_id, review_id // 1024"""))
+SELECT game_id, chunk, string_agg(comment, chr(10) ORDER BY review_id) AS text
+FROM (SELECT *, (row_number() OVER (PARTITION BY game_id ORDER BY review_id) - 1) // 1024 AS chunk FROM rev)
+GROUP BY game_id, chunk"""))
 def raw_join(spark, sf):
     return _reviews(spark, sf).raw_join()
 

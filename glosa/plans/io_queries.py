@@ -8,9 +8,10 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from glosa import schemas as Sc
 from glosa.functions.text import number_or_null
 from glosa.operators import merge as M
-from glosa.operators.skew import block_of
+from glosa.operators.skew import block_of, portable_key
 from glosa.plans import oracle_parts as P
 from glosa.plans import views as V
+from glosa.plans.corpus_queries import META
 from glosa.plans.registry import query
 from glosa.session import scratch_dir
 from glosa.sources import markup, readers, writers
@@ -116,19 +117,41 @@ def json_csv_sources(spark, sf):
     )
 
 
-@query(lambda: P.with_docs("""
-SELECT game_id, username, rating, ts, label, comment, clean_text, lang, len(tokens) AS n_tokens, p_name AS name
-FROM docs JOIN part ON p_partkey = game_id"""))
+@query(lambda: P.with_docs(f"""
+SELECT game_id, {P.KEY} AS review_id, row_number() OVER (PARTITION BY game_id ORDER BY {P.KEY}) - 1 AS seq, username, docs.rating, ts,
+  label, comment, clean_text, lang, len(tokens) AS n_tokens, name, rank AS overall_rank, total_all AS num_reviews
+FROM docs JOIN meta USING (game_id)""", META))
 def corpus_json_roundtrip(spark, sf):
-    docs = V.documents(spark, sf)
-    metadata = M.build_metadata(V.games(spark, sf), V.game_ranks(spark, sf).limit(0), V.game_stats(spark, sf).limit(0))
+    """Hashed ids, items over several records: order, ids, ranks and stats come back, every item once."""
+    docs = V.documents(spark, sf).withColumn("review_id", portable_key(F.col("review_id")))
+    metadata = M.build_metadata(V.games(spark, sf), V.game_ranks(spark, sf), V.game_stats(spark, sf))
     path = scratch_dir(spark, "corpus")
-    writers.write_corpus(docs, metadata, path)
+    writers.write_corpus(docs, metadata, path, per_record=4)
     games, back = readers.read_corpus(spark, path)
-    names = games.select("game_id", F.col("game_info.name").alias("name")).distinct()
-    return back.join(names, "game_id").select(
-        "game_id", "username", "rating", "ts", "label", "comment", "clean_text", "lang",
-        F.size("tokens").cast("bigint").alias("n_tokens"), "name")
+    items = games.select(
+        "game_id", F.col("game_info.name").alias("name"), "rankings.overall_rank", F.col("stats.num_reviews").alias("num_reviews"))
+    return back.join(items, "game_id").select(
+        "game_id", "review_id", "seq", "username", "rating", "ts", "label", "comment", "clean_text", "lang",
+        F.size("tokens").cast("bigint").alias("n_tokens"), "name", "overall_rank", "num_reviews")
+
+
+@query(P.with_reviews(f"""
+SELECT game_id, {P.KEY} AS review_id, username, lab.rating, comment, ts, label AS category, CAST(length(comment) AS DOUBLE) AS f_length,
+  name, count(*) OVER (PARTITION BY game_id) AS num_reviews
+FROM lab JOIN meta USING (game_id)""", META))
+def store_export_import(spark, sf):
+    """A store written as JSON records and read into another one: ids, features and metadata stay, items come once."""
+    first, second = (ReviewStore(spark, scratch_dir(spark, n)) for n in ("store", "copy"))
+    docs = V.reviews(spark, sf).withColumn("review_id", portable_key(F.col("review_id"))).withColumn(
+        "features", F.create_map(F.lit("length"), F.length("comment").cast("double")))
+    first.save(docs, M.build_metadata(V.games(spark, sf), V.game_ranks(spark, sf), V.game_stats(spark, sf)))
+    path = scratch_dir(spark, "export")
+    first.export_json(path, per_record=4)
+    second.import_json(path)
+    items, back = second.load()
+    return back.join(items.select("game_id", "game_info.name", "num_reviews"), "game_id").select(
+        "game_id", "review_id", "username", "rating", "comment", "ts", "category",
+        F.col("features")["length"].alias("f_length"), "name", "num_reviews")
 
 
 @query(P.with_reviews("""

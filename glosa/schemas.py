@@ -43,7 +43,7 @@ PROCESSED = _struct(
 SAVED_REVIEW = _struct(
     username=StringType(), rating=StringType(), timestamp=LongType(), game_id=StringType(),
     category=StringType(), raw_text=StringType(), comment=StringType(), clean_text=StringType(),
-    language=StringType(), processed=PROCESSED,
+    language=StringType(), review_id=LongType(), is_augmented=BooleanType(), processed=PROCESSED,
 )
 
 GAME_INFO = _struct(
@@ -69,4 +69,4 @@ GAME_METADATA = _struct(
     polls=_struct(complexity_poll=_struct(poll_avg=DoubleType(), poll_votes=StringType())),
 )
 
-SAVED_GAME = _struct(game_id=LongType(), metadata=GAME_METADATA, reviews=ArrayType(SAVED_REVIEW))
+SAVED_GAME = _struct(game_id=LongType(), metadata=GAME_METADATA, first=LongType(), reviews=ArrayType(SAVED_REVIEW))

@@ -79,13 +79,16 @@ def read_corpus(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(games, documents) of a corpus written by :func:`glosa.sources.writers.write_corpus`.
 
     ``raw_text`` wins over ``comment``; the item id comes from the parent record;
-    unparsable ids become null and a missing language ``en``.
+    unparsable ids become null and a missing language ``en``.  An item is one row of
+    ``games`` however many records it spans, and ``seq`` counts on across its records.
     """
     saved = read_json_lines(spark, path, Sc.SAVED_GAME)
-    games = saved.select("game_id", "metadata.*")
-    documents = saved.select("game_id", F.posexplode("reviews").alias("seq", "r")).select(
+    games = saved.groupBy("game_id").agg(F.first("metadata", ignorenulls=True).alias("metadata")).select("game_id", "metadata.*")
+    start = F.coalesce("first", F.lit(0).cast("bigint"))
+    documents = saved.select("game_id", start.alias("start"), F.posexplode("reviews").alias("seq", "r")).select(
         F.coalesce("game_id", F.col("r.game_id").try_cast("bigint")).alias("game_id"),
-        F.col("seq").cast("bigint").alias("seq"),
+        (F.col("start") + F.col("seq")).alias("seq"),
+        F.col("r.review_id").alias("review_id"),
         F.col("r.username").alias("username"),
         number_or_null(F.col("r.rating")).alias("rating"),
         F.coalesce("r.raw_text", "r.comment").alias("comment"),
@@ -95,6 +98,7 @@ def read_corpus(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
         language_code(F.col("r.language")).alias("lang"),
         F.coalesce("r.processed.tokens_no_stopwords", F.array().cast("array<string>")).alias("tokens"),
         F.col("r.processed.linguistic_features").alias("features"),
+        F.col("r.is_augmented").alias("is_augmented"),
     )
     return games, documents
 

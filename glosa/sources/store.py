@@ -19,7 +19,7 @@ from glosa.operators.skew import assign_slots, id_blocks
 from glosa.schemas import GAME_METADATA
 
 REVIEW_COLUMNS = "game_id bigint, review_id bigint, username string, rating double, comment string, " \
-    "ts bigint, lang string, clean_text string, tokens array<string>, category string"
+    "ts bigint, lang string, clean_text string, tokens array<string>, features map<string,double>, category string"
 
 
 class ReviewStore:
@@ -130,17 +130,21 @@ class ReviewStore:
             self.spark.createDataFrame([], self.game_schema), self.spark.createDataFrame([], REVIEW_COLUMNS)
         )
 
-    def export_json(self, path: str) -> None:
-        from glosa.sources.writers import write_corpus
+    def export_json(self, path: str, per_record: int | None = None) -> None:
+        from glosa.sources.writers import REVIEWS_PER_RECORD, write_corpus
 
         games, reviews = self.load()
-        write_corpus(reviews.withColumnRenamed("category", "label"), games.drop("num_reviews"), path)
+        write_corpus(
+            reviews.withColumnRenamed("category", "label"), games.drop("num_reviews"), path,
+            per_record=per_record or REVIEWS_PER_RECORD,
+        )
 
     def import_json(self, path: str) -> None:
         from glosa.sources.readers import read_corpus
 
         games, documents = read_corpus(self.spark, path)
-        self.save(documents.withColumn("review_id", F.xxhash64("game_id", "username", "ts", "comment")), games)
+        made = F.xxhash64("game_id", "seq", "username", "ts", "comment")
+        self.save(documents.withColumn("review_id", F.coalesce("review_id", made)), games)
 
 
 def category_totals(reviews: DataFrame, category: str = "category") -> DataFrame:

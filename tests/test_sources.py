@@ -86,6 +86,32 @@ def test_corpus_round_trip_keeps_order_and_features(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "flat" / "reviews")).count() == 2
 
 
+def test_items_of_several_records_come_back_once(spark, tmp_path):
+    docs = spark.range(50).selectExpr(
+        "1L AS game_id", "xxhash64(id) AS review_id", "concat('u', id) AS username", "1D AS rating", "concat('c', id) AS comment",
+        "map('f', double(id)) AS features", "'positive' AS label")
+    games = spark.createDataFrame([(1, ("n",)), (2, ("alone",))], "game_id bigint, game_info struct<name:string>")
+    writers.write_corpus(docs, games, str(tmp_path / "c"), per_record=16)
+    assert spark.read.json(str(tmp_path / "c")).filter("reviews IS NOT NULL").count() == 4
+    items, back = readers.read_corpus(spark, str(tmp_path / "c"))
+    assert {(g.game_id, g.game_info.name) for g in items.collect()} == {(1, "n"), (2, "alone")} and items.count() == 2
+    want = [r.review_id for r in docs.orderBy("review_id").collect()]
+    assert [(r.seq, r.review_id) for r in back.orderBy("seq").collect()] == list(enumerate(want))
+    store = ReviewStore(spark, str(tmp_path / "s"))
+    store.import_json(str(tmp_path / "c"))
+    assert sorted((g.game_id, g.num_reviews) for g in store.games().collect()) == [(1, 50), (2, 0)]
+    kept = store.reviews().collect()
+    assert sorted(r.review_id for r in kept) == want and all(r.features["f"] == float(r.username[1:]) for r in kept)
+
+
+def test_joined_texts_follow_counted_rows(spark):
+    from glosa.operators.frequency import join_texts
+
+    docs = spark.range(50).selectExpr("1L AS g", "xxhash64(id) AS i", "string(id) AS t")
+    rows = join_texts(docs, "g", "i", F.col("t")).collect()
+    assert [r.chunk for r in rows] == [0] and rows[0].text.split("\n") == [r.t for r in docs.orderBy("i").collect()]
+
+
 def test_build_chain(spark, sf):
     built, counts, report = build.build_corpus(
         V.crawler_reviews(spark, sf), V.api_reviews(spark, sf), V.games(spark, sf), V.game_ranks(spark, sf), V.game_stats(spark, sf),
