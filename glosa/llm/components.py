@@ -20,7 +20,7 @@ def _minima(links: DataFrame, own: bool) -> DataFrame:
 
 
 def _large(links: DataFrame) -> DataFrame:
-    both = cut_lineage(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     return both.join(_minima(both, True), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
@@ -28,7 +28,8 @@ def _small(links: DataFrame) -> DataFrame:
     down = cut_lineage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     least = _minima(down, False)
     moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
+    # Repeats among moved links go in the next round; at the end none are moved.
+    return moved.unionByName(least.select("a", F.col("m").alias("b")))
 
 
 def _state(links: DataFrame) -> tuple:
