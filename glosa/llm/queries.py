@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosa.llm import decontaminate, langid, neardup, ngram_quality, packing, passages, spotsigs, suffixes, urls, warc
+from glosa.llm import decontaminate, langid, neardup, ngram_quality, packing, passages, runs, spotsigs, suffixes, urls, warc
 from glosa.llm.tables import read
 from glosa.session import scratch_dir
 
@@ -123,6 +123,17 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.hold_out(read(spark, sf_dir, "documents"))
 
 
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of all documents, a tenth of them with echoes put in."""
+    found = runs.periodic_runs(runs.with_echoes(read(spark, sf_dir, "documents")))
+    best = found.withColumn("best", runs.strongest(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    return best.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", lines), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words")
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffixes": op1_suffixes,
     "op2_decontaminate": op2_decontaminate,
@@ -134,6 +145,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_urls": op9_urls,
     "op10_langid": op10_langid,
+    "op13_runs": op13_runs,
 }
 
 
