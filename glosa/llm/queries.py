@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosa.llm import decontaminate, langid, neardup, ngram_quality, packing, passages, runs, spotsigs, suffixes, urls, warc
+from glosa.llm import bpe, decontaminate, langid, neardup, ngram_quality, packing, passages, runs, spotsigs, suffixes, urls, warc
 from glosa.llm.tables import read
 from glosa.session import scratch_dir
 
@@ -123,6 +123,17 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.hold_out(read(spark, sf_dir, "documents"))
 
 
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents through the vocabulary and back."""
+    import public_tokenizers
+
+    path = tokenizer_path("byte_bpe_multi_50k.tiktoken")
+    done = bpe.decode(bpe.encode(read(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN), path)
+    return done.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of all documents, a tenth of them with echoes put in."""
     found = runs.periodic_runs(runs.with_echoes(read(spark, sf_dir, "documents")))
@@ -145,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_urls": op9_urls,
     "op10_langid": op10_langid,
+    "op12_bpe": op12_bpe,
     "op13_runs": op13_runs,
 }
 
