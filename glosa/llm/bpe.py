@@ -28,12 +28,11 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glosa.llm.buffers import column, row_ranges, utf8
+from glosa.llm.buffers import column, row_ranges, squeeze, unsqueeze, utf8
 from glosa.llm.tables import quoted
 from glosa.session import cut_lineage
 
@@ -58,17 +57,6 @@ def _merger(path: str):
     return tiktoken.Encoding("words", pat_str=r"(?s:.+)", mergeable_ranks=ranks(path), special_tokens={})
 
 
-def _squeeze(numbers: np.ndarray) -> bytes:
-    """Numbers as four planes of bytes, the higher of which are nearly all zeros, compressed."""
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def _unsqueeze(body: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
-
-
 class _Block:
     """Distinct words of the documents so far, and the documents as their numbers."""
 
@@ -86,7 +74,7 @@ class _Block:
             if word not in numbers:
                 numbers[word] = len(numbers)
         self.tokens += len(words)
-        body = _squeeze(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+        body = squeeze(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
         return self._rows([-1], [None], [keys], [counts], [body])
 
     def words(self) -> Iterator[pa.RecordBatch]:
@@ -140,7 +128,7 @@ def _assemble(words: pa.Table, texts: pa.Table) -> pa.Table:
     for row in range(texts.num_rows):
         keys = texts.column("doc_ids")[row].values
         counts = texts.column("counts")[row].values.to_numpy(zero_copy_only=False)
-        found = ids.take(pa.array(_unsqueeze(texts.column("body")[row].as_py())))
+        found = ids.take(pa.array(unsqueeze(texts.column("body")[row].as_py())))
         ends = found.offsets.to_numpy()[np.concatenate(([0], np.cumsum(counts)))]
         lists = pa.ListArray.from_arrays(pa.array((ends - ends[0]).astype(np.int32)), found.flatten())
         done.append(pa.RecordBatch.from_arrays([keys, lists], ["doc_id", "ids"]))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosa.llm import bpe, decontaminate, langid, neardup, ngram_quality, packing, passages, runs, spotsigs, suffixes, urls, warc
+from glosa.llm import bpe, collocations, decontaminate, langid, neardup, ngram_quality, packing, passages, runs, spotsigs, suffixes, urls, warc
 from glosa.llm.tables import read
 from glosa.session import scratch_dir
 
@@ -123,6 +123,35 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.hold_out(read(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
+def op11_sql(threshold: int = 100, top: int = 2000) -> str:
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {k} AS m, list_slice(w, i, i + {k - 1}) AS g FROM (SELECT lang, w, unnest(generate_series(1, len(w) - {k - 1})) AS i FROM p)"
+        for k in range(1, collocations.LONGEST + 1))
+    return f"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{urls.UPPER}', '{urls.LOWER}') AS t FROM documents),
+s AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS t FROM d),
+p AS (SELECT lang, list_filter(regexp_split_to_array(t, '[\x20\x09]+'), lambda x: x <> '') AS w FROM s),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+f AS (SELECT lang, m, array_to_string(g, ' ') AS phrase, g, count(*) AS f FROM ({grams}) GROUP BY ALL HAVING count(*) >= {threshold}),
+inside AS (SELECT DISTINCT lang, array_to_string(list_slice(g, i, j), ' ') AS phrase, f FROM (
+  SELECT lang, g, m, f, i, unnest(generate_series(i, m)) AS j FROM (SELECT lang, g, m, f, unnest(generate_series(1, m)) AS i FROM f)) WHERE j - i + 1 < m),
+c AS (SELECT * FROM f WHERE m > 1 AND NOT EXISTS (FROM inside x WHERE x.lang = f.lang AND x.phrase = f.phrase AND 100 * x.f >= 100 * f.f)),
+k AS (SELECT lang, phrase, g, m, f AS a, unnest(generate_series(1, m - 1)) AS k FROM c),
+o AS (SELECT k.lang, k.phrase, k.k, k.a, x.f AS l, y.f AS r, n.n,
+      CAST(1000 * CAST(k.a AS HUGEINT) * n.n // (CAST(x.f AS HUGEINT) * y.f) AS BIGINT) AS score
+      FROM k JOIN n ON n.lang = k.lang
+      JOIN f x ON x.lang = k.lang AND x.phrase = array_to_string(list_slice(k.g, 1, k.k), ' ')
+      JOIN f y ON y.lang = k.lang AND y.phrase = array_to_string(list_slice(k.g, k.k + 1, len(k.g)), ' ')),
+b AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM b QUALIFY rank <= {top}
+"""
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents through the vocabulary and back."""
     import public_tokenizers
@@ -156,10 +185,11 @@ QUERIES: dict[str, Query] = {
     "op8_packing": op8_packing,
     "op9_urls": op9_urls,
     "op10_langid": op10_langid,
+    "op11_collocations": op11_collocations,
     "op12_bpe": op12_bpe,
     "op13_runs": op13_runs,
 }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_warc": OP3_SQL, "op9_urls": op9_sql()}
+    return {"op3_warc": OP3_SQL, "op9_urls": op9_sql(), "op11_collocations": op11_sql()}
