@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from glosa.functions.lexicons import MAX_TERMS
 from glosa.functions.text import is_blank, literal_map
-from glosa.operators.skew import assign_slots, key_bucket, portable_key
+from glosa.operators.skew import assign_slots, beyond, cut_places, id_digits, key_digits, portable_key
 
 CATEGORIES = ("positive", "neutral", "negative")
 STRATEGIES = ("undersample", "oversample", "hybrid")
@@ -88,10 +88,17 @@ def targets(
 
     Items without any labelled row have no target and are left as they are.
     """
+    counts = df.filter(F.col(label).isin(*categories)).groupBy(game, label).agg(F.count(F.lit(1)).alias("n"))
+    return targets_of(counts, strategy, game, min_samples, target_ratio)
+
+
+def targets_of(
+    counts: DataFrame, strategy: str, game: str = "game_id", min_samples: int = 30, target_ratio: float | None = None
+) -> DataFrame:
+    """``targets`` from the counted rows ``n`` of every (item, category)."""
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}")
-    counts = df.filter(F.col(label).isin(*categories)).groupBy(game, label).agg(F.count(F.lit(1)).alias("n"))
-    spread = counts.groupBy(game).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    spread = counts.groupBy(F.col(game).alias("_g")).agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
     if strategy == "undersample":
         target = F.col("lo")
     elif strategy == "oversample":
@@ -101,8 +108,8 @@ def targets(
         ladder = F.when(gap > 10, 0.5).when(gap > 5, 0.6).when(gap > 2, 0.75).otherwise(1.0)
         ratio = F.lit(target_ratio) if target_ratio is not None else ladder
         target = F.greatest(F.floor(F.col("hi") * ratio), F.lit(min_samples).cast("bigint"))
-    spread = spread.withColumn("target", target)
-    return counts.join(spread.select(F.col(game).alias("_g"), "target"), F.col(game).eqNullSafe(F.col("_g"))).drop("_g")
+    spread = spread.select("_g", target.alias("target"))
+    return counts.join(spread, F.col(game).eqNullSafe(F.col("_g"))).drop("_g")
 
 
 def balance(
@@ -125,59 +132,58 @@ def balance(
     given, by variants of its own texts; a text without replaceable words yields
     none, so a shortfall is possible.  Blank comments and unlabelled rows are
     dropped, except in items that have no labelled row at all.
+
+    One pass counts, one finds the keys at the quotas, one marks the rows (and one makes the variants).
     """
-    want = targets(df, strategy, game, label, categories, min_samples, target_ratio)
-    labelled = df.filter(F.col(label).isin(*categories))
+    if strategy not in STRATEGIES:
+        raise ValueError(f"strategy must be one of {STRATEGIES}")
     key = portable_key(F.col(row_id), seed)
-    quotas = want.select(game, label, F.array(
-        F.when((F.col("n") > F.col("target")) & F.lit(strategy != "oversample"), F.col("target")).otherwise(F.col("n"))
-    ).alias("cuts"))
-    kept = assign_slots(labelled, [game, label], quotas, key, F.col(row_id), key_bucket(key), "_slot")
-    kept = kept.filter("_slot = 0").drop("_slot")
-    plain = kept.withColumn("is_augmented", F.lit(False)).withColumn("augmented_from", F.lit(None).cast("bigint"))
-    if synonyms is not None:
-        plain = plain.unionByName(_grow(labelled, want, game, label, text, row_id, key, synonyms))
-    balanced = plain.filter(~is_blank(F.col(text)))
-    # Items without any labelled row are returned whole.
-    has_label = want.select(F.col(game).alias("_g")).distinct()
-    untouched = df.join(has_label, F.col(game).eqNullSafe(F.col("_g")), "left_anti")
-    untouched = untouched.withColumn("is_augmented", F.lit(False)).withColumn(
-        "augmented_from", F.lit(None).cast("bigint")
-    )
-    return balanced.unionByName(untouched)
 
+    def quotas(counts: DataFrame) -> DataFrame:
+        want = targets_of(counts, strategy, game, min_samples, target_ratio)
+        keep = F.when((F.col("n") > F.col("target")) & F.lit(strategy != "oversample"), F.col("target")).otherwise(F.col("n"))
+        needed = F.greatest(F.col("target") - F.col("n"), F.lit(0))
+        grown = (needed % F.col("n"), F.floor(needed / F.col("n"))) if synonyms is not None else (F.lit(0).cast("bigint"),) * 2
+        return want.select(game, label, F.array(keep, grown[0]).alias("cuts"), grown[1].alias("each"))
 
-def _grow(
-    labelled: DataFrame, want: DataFrame, game: str, label: str, text: str, row_id: str, key: Column, synonyms: Synonyms
-) -> DataFrame:
-    short = want.filter("n < target").withColumn("needed", F.col("target") - F.col("n"))
-    quotas = short.select(
-        game, label, F.array(F.col("needed") % F.col("n")).alias("cuts"),
-    )
-    each = short.select(
-        F.col(game).alias("_g"), F.col(label).alias("_l"), F.floor(F.col("needed") / F.col("n")).alias("_each")
-    )
-    base = assign_slots(labelled, [game, label], quotas, key, F.col(row_id), key_bucket(key), "_slot")
-    base = base.join(each, F.col(game).eqNullSafe(F.col("_g")) & F.col(label).eqNullSafe(F.col("_l")))
-    copies = F.col("_each") + F.when(F.col("_slot") == 0, 1).otherwise(0)
+    labelled = df.filter(F.col(label).isin(*categories))
+    places = cut_places(labelled, [game, label], quotas, key, F.col(row_id), key_digits(key))
+    # All categories of an item in one row: the rows meet their quotas by item alone.
+    plan = F.collect_list(F.struct(F.col(label).alias("label"), "cuts", "each", "edges")).alias("_plan")
+    per_item = places.groupBy(F.col(game).alias("_g")).agg(plan)
+    marked = df.join(per_item, F.col(game).eqNullSafe(F.col("_g")), "left").drop("_g").withColumn(
+        "_own", F.get(F.filter("_plan", lambda p: p["label"] == F.col(label)), F.lit(0)))
+
+    def within(cut: int) -> Column:
+        return ~beyond(F.col("_own.cuts")[cut], key, F.col(row_id), F.col("_own.edges"))
+
+    no_source = F.lit(None).cast("bigint")
+    chosen = F.col("_own").isNotNull() & within(0) & ~is_blank(F.col(text))
+    # Items without any labelled row have no plan and are returned whole.
+    out = marked.filter(F.col("_plan").isNull() | chosen).select(
+        *df.columns, F.lit(False).alias("is_augmented"), no_source.alias("augmented_from"))
+    if synonyms is None:
+        return out
+    copies = F.col("_own.each") + F.when(within(1), 1).otherwise(0)
+    base = marked.withColumn("_copies", copies).filter("_copies > 0").select(*df.columns, "_copies")
+    return out.unionByName(_variants(base, label, text, row_id, synonyms).select(*out.columns))
+
+
+def _variants(base: DataFrame, label: str, text: str, row_id: str, synonyms: Synonyms) -> DataFrame:
+    """``_copies`` numbered variants of every row, without those that are blank or equal to the text."""
     # A rare text may be copied very often: its copies are cut into chunks and
     # the chunks spread before they are written out.
-    chunks = (
-        base.withColumn("_copies", copies)
-        .filter("_copies > 0")
-        .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(COPIES_PER_TASK_ROW).cast("bigint"))))
-        .repartition(F.col(row_id), F.col("_from"))
-    )
+    chunks = base.withColumn("_from", F.explode(F.sequence(
+        F.lit(0).cast("bigint"), F.col("_copies") - 1, F.lit(COPIES_PER_TASK_ROW).cast("bigint")))).repartition(F.col(row_id), F.col("_from"))
     last = F.least(F.col("_from") + COPIES_PER_TASK_ROW, F.col("_copies")) - 1
     numbered = chunks.withColumn("_v", F.explode(F.sequence("_from", last)))
-    lang = F.col("lang") if "lang" in labelled.columns else F.lit("en")
+    lang = F.col("lang") if "lang" in base.columns else F.lit("en")
     made = numbered.withColumn("_new", F.trim(synonyms.variant(F.trim(text), lang, F.col(row_id), F.col("_v"))))
     return (
         made.filter((F.length(F.trim(text)) >= 5) & (F.col("_new") != "") & (F.col("_new") != F.trim(text)))
         .withColumn(text, F.col("_new"))
         .withColumn("is_augmented", F.lit(True))
         .withColumn("augmented_from", F.col(row_id).cast("bigint"))
-        .select(*labelled.columns, "is_augmented", "augmented_from")
     )
 
 
@@ -229,17 +235,19 @@ def rating_cap(
     """
     star = F.floor(rating).cast("bigint")
     rated = df.filter(~is_blank(F.col(text)) & star.between(1, 10)).withColumn("star", star)
-    probes = rated.groupBy(game).agg(*[F.count_if(F.col("star") == r).alias(f"n{r}") for r in (1, 2, 10)])
-    base = probes.filter("n1 > 0 AND n2 > 0 AND n10 > 0").select(
-        game, F.least("n1", "n2", "n10").alias("base")
-    )
-    quotas = base.withColumn("star", F.explode(F.sequence(F.lit(1), F.lit(10)))).select(
-        game, F.col("star").cast("bigint").alias("star"),
-        F.array(F.when(F.col("star").isin(5, 6), F.col("base") * 2).otherwise(F.col("base"))).alias("cuts"),
-    )
+
+    def quotas(counts: DataFrame) -> DataFrame:
+        probes = counts.groupBy(game).agg(*[F.sum(F.when(F.col("star") == r, F.col("n")).otherwise(0)).alias(f"n{r}") for r in (1, 2, 10)])
+        base = probes.filter("n1 > 0 AND n2 > 0 AND n10 > 0").select(game, F.least("n1", "n2", "n10").alias("base"))
+        return base.withColumn("star", F.explode(F.sequence(F.lit(1), F.lit(10)))).select(
+            game, F.col("star").cast("bigint").alias("star"),
+            F.array(F.when(F.col("star").isin(5, 6), F.col("base") * 2).otherwise(F.col("base"))).alias("cuts"),
+        )
+
     newest = -F.coalesce(F.col(ts), F.lit(0))
-    day = F.floor(newest / 86400).cast("bigint")
-    slots = assign_slots(rated, [game, "star"], quotas, newest, F.col(row_id), day, "_slot")
+    # Rows without a time, or of one second, are told apart by their ids.
+    digits = [F.floor(newest / 86400).cast("bigint"), F.pmod(newest, F.lit(86400)).cast("bigint"), *id_digits(F.col(row_id))[:2]]
+    slots = assign_slots(rated, [game, "star"], quotas, newest, F.col(row_id), digits, "_slot")
     return slots.filter("_slot = 0").drop("_slot")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glosa.functions.text import number_or_null
 from glosa.operators import frequency as Q
-from glosa.operators.skew import first_n, id_blocks
+from glosa.operators.skew import first_n
 
 CLASSIFICATION_FIELDS = ("mechanics", "categories", "families")
 
@@ -211,8 +211,7 @@ class Corpus:
         return self._lookup("stats.bayes_average", game_id)
 
     def first_per_game(self, n: int) -> DataFrame:
-        key = F.col("review_id")
-        return first_n(self.documents, ["game_id"], n, key, key, id_blocks(self.documents, "review_id"))
+        return first_n(self.documents, ["game_id"], n, "review_id")
 
 
 def valid_document(min_tokens: int = 3):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glosa.operators.merge import keep_last
-from glosa.operators.skew import assign_slots, id_blocks
+from glosa.operators.skew import first_n
 from glosa.schemas import GAME_METADATA
 
 REVIEW_COLUMNS = "game_id bigint, review_id bigint, username string, rating double, comment string, " \
@@ -105,10 +105,7 @@ class ReviewStore:
             reviews = reviews.filter(F.col("category").isin(*categories))
         reviews = reviews.join(games.select("game_id"), "game_id", "left_semi")
         if limit:
-            quotas = games.select("game_id", F.array(F.lit(limit).cast("bigint")).alias("cuts"))
-            key = F.col("review_id")
-            reviews = assign_slots(reviews, ["game_id"], quotas, key, key, id_blocks(reviews, "review_id"), "_s")
-            reviews = reviews.filter("_s = 0").drop("_s")
+            reviews = first_n(reviews, ["game_id"], limit, "review_id")
         return games, reviews
 
     def stats(self) -> DataFrame:

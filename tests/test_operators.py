@@ -20,9 +20,12 @@ MERGE_SCHEMA = "game_id bigint, username string, rating string, comment string,
 
 
 # ------------------------------------------------------------------------ skew
-@pytest.mark.parametrize("buckets", [1, 16, 4096])
-def test_slots_match_a_plain_ranking(spark, buckets):
-    rng = random.Random(buckets)
+@pytest.mark.parametrize("digits", [
+    lambda key: K.key_bucket(key, 1), lambda key: K.key_bucket(key, 16), K.key_digits,
+    lambda key: [K.key_bucket(key, 4), F.shiftright(key, 26).bitwiseAND(F.lit(15)), F.shiftright(key, 20).bitwiseAND(F.lit(63))],
+])
+def test_slots_match_a_plain_ranking(spark, digits):
+    rng = random.Random(9)
     groups = ["hot"] * 700 + ["a"] * 40 + ["b"] * 3 + [None] * 10
     rows = [(i, g) for i, g in enumerate(groups)]
     rng.shuffle(rows)
@@ -30,7 +33,7 @@ def test_slots_match_a_plain_ranking(spark, buckets):
     df = spark.createDataFrame(rows, "id bigint, g string")
     quotas = spark.createDataFrame(list(cuts.items()), "g string, cuts array<bigint>")
     key = K.portable_key(F.col("id"))
-    got = K.assign_slots(df, ["g"], quotas, key, F.col("id"), K.key_bucket(key, buckets)).collect()
+    got = K.assign_slots(df, ["g"], quotas, key, F.col("id"), digits(key)).collect()
     assert len(got) == len(rows)
     hashed = lambda i: (i * 2654435761 + 42) % (1 << 32)
     members = defaultdict(list)
@@ -43,6 +46,45 @@ def test_slots_match_a_plain_ranking(spark, buckets):
     assert {r.id: r.slot for r in got} == want
 
 
+def test_first_rows_by_id_digits(spark):
+    rng = random.Random(3)
+    ids = [*range(-40, 40), *(rng.getrandbits(63) * rng.choice((1, -1)) for _ in range(300)), 2**63 - 1, -(2**63)]
+    df = spark.createDataFrame([(g, i) for g in (1, None) for i in set(ids)], "g bigint, id bigint")
+    got = defaultdict(list)
+    for r in K.first_n(df, ["g"], 150, "id").collect():
+        got[r.g].append(r.id)
+    assert {g: sorted(v) for g, v in got.items()} == {g: sorted(set(ids))[:150] for g in (1, None)}
+    order = df.select("id", F.struct(*K.id_digits(F.col("id"))).alias("d")).distinct().collect()
+    assert [r.id for r in sorted(order, key=lambda r: (tuple(r.d), r.id))] == sorted(set(ids))
+
+
+def test_cuts_read_the_input_three_times(spark, tmp_path):
+    spark.range(1000).selectExpr("id", "id % 7 AS g").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    seen = []
+
+    def quotas(sizes):
+        seen.append({r.g: r.n for r in sizes.collect()})
+        return sizes.select("g", F.array(F.lit(5).cast("bigint"), F.lit(9).cast("bigint")).alias("cuts"))
+
+    key = K.portable_key(F.col("id"))
+    slots = K.assign_slots(df, ["g"], quotas, key, F.col("id"), K.key_digits(key))
+    assert seen == [{g: 143 if g < 6 else 142 for g in range(7)}]
+    # Two passes are written by now; the plan left over reads the table once.
+    plan = slots._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [id") == 1
+    assert {(r.g, r.slot): r["count"] for r in slots.groupBy("g", "slot").count().collect()}[3, 1] == 4
+
+
+def test_prefix_sums_over_many_partitions(spark):
+    df = spark.createDataFrame([(f"k{i:03}", i * i % 17) for i in range(200)], "k string, v bigint").repartition(7)
+    got = {r.k: r.s for r in K.prefix_sums(df, "k", "v", "s").collect()}
+    total = 0
+    for i in range(200):
+        assert got[f"k{i:03}"] == total
+        total += i * i % 17
+
+
 def test_running_offset_is_a_prefix_sum(spark):
     rows = [(i % 3, i * 7919 % 100003, i % 5) for i in range(500)]
     df = spark.createDataFrame(rows, "g bigint, id bigint, v bigint")
