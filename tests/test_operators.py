@@ -357,3 +357,47 @@ def test_naive_bayes_takes_negative_features(spark, tmp_path):
     fitted["naive_bayes", "combined"].write().save(path)
     before = fitted["naive_bayes", "combined"].transform(df).select("predicted").collect()
     assert PipelineModel.load(path).transform(df).select("predicted").collect() == before
+
+
+def test_chain_equals_join(spark):
+    rng = random.Random(8)
+    rows = [(i, rng.choice(["en", "de"]), rng.choices("abcdef", k=rng.randint(0, 30))) for i in range(80)] + [(80, "en", None)]
+    df = spark.createDataFrame(rows, "review_id long, lang string, tokens array<string>")
+    vocab = Vx.fit_vocabulary(df, df.count(), None)
+    slow = {r.review_id: (r.indices, r["values"]) for r in Vx.tfidf(df, vocab, max_features=None).collect()}
+    fast = {r.review_id: (r.indices, r["values"]) for r in Vx.tfidf(df, vocab, max_features=1000).collect()}
+    assert slow.keys() == fast.keys()
+    for key, (places, values) in slow.items():
+        assert fast[key][0] == places and fast[key][1] == pytest.approx(values)
+    plan = Vx.tfidf(df, vocab, max_features=1000)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Python" not in plan
+
+
+def test_document_frequency_in_the_same_pass(spark):
+    df = spark.createDataFrame([(1, "en", ["a", "a", "b"]), (2, "en", ["a"])], "review_id long, lang string, tokens array<string>")
+    got = {r.term: (r.idx, r.total, r.df) for r in Vx.fit_vocabulary(df, 2, 10, ngram_range=(1, 1)).collect()}
+    assert got == {"en_a": (0, 3, 2), "en_b": (1, 1, 1)}
+
+
+def test_vectors_and_arrays_on_the_jvm(spark):
+    from pyspark.ml.linalg import Vectors
+
+    rows = [(1, [0, 3], [1.5, -2.0]), (2, None, None)]
+    df = spark.createDataFrame(rows, "id int, i array<int>, v array<double>").withColumn("s", Vx.to_ml_vector(F.col("i"), F.col("v"), 5))
+    dense = spark.createDataFrame([(1, Vectors.dense([0.0, -1.0])), (2, Vectors.sparse(5, [4], [0.1]))], ["id", "w"])
+    both = df.join(dense, "id").select("id", "s", Vx.with_values(F.col("w"), lambda x: x + 1).alias("up"), Vx.stored_values(F.col("s")).alias("x"))
+    got = {r.id: r for r in both.collect()}
+    assert got[1].s == Vectors.sparse(5, [0, 3], [1.5, -2.0]) and got[2].s == Vectors.sparse(5, [], [])
+    assert got[1].up == Vectors.sparse(2, [0, 1], [1.0, 0.0]) and got[2].up == Vectors.sparse(5, [4], [1.1])
+    assert got[1].x == [1.5, -2.0]
+    assert "Python" not in both._jdf.queryExecution().executedPlan().toString()
+
+
+def test_common_feature_names_are_not_joined(spark):
+    rows = [(i, {"len": float(i), f"user=u{i}": 1.0}) for i in range(600)]
+    df = spark.createDataFrame(rows, "review_id long, features map<string,double>")
+    vocab = Vx.feature_vocabulary(df)
+    number = {r.feature: r.idx for r in vocab.collect()}
+    joined = df.withColumn("features", F.map_concat("features", F.create_map(F.lit("unknown"), F.lit(3.0))))
+    got = {r.review_id: dict(zip(r.indices, r["values"])) for r in Vx.feature_vectors(joined, vocab, "review_id").collect()}
+    assert got == {i: {number["len"]: float(i), number[f"user=u{i}"]: 1.0} for i in range(600)}
