@@ -7,7 +7,7 @@ document.  Work arrays stay small: batches are cut into ranges of at most ``LIMI
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +46,13 @@ def row_ranges(offsets: np.ndarray, limit: int = LIMIT) -> Iterator[tuple[int, i
         first = last
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that what is copied from one is small."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser: every input bit reaches every output bit."""
     h = h ^ (h >> _MASK32)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glosa.session import scratch_dir
+
 SCHEMAS = {
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
     "pages": "page_id bigint, url string, html string",
@@ -27,3 +30,18 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
 
 def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` written to the shared folder in one bucket of ``key`` per shuffle partition.
+
+    Groups and joins by ``key`` read the buckets where they lie and shuffle only the other side.  The name in the
+    catalog is gone at once; the frame returned keeps the files and their buckets.
+    """
+    spark = df.sparkSession
+    name = f"glosa_{uuid.uuid4().hex}"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(parts, key).option("path", scratch_dir(spark, "buckets")).saveAsTable(name)
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return table

@@ -54,19 +54,16 @@ def test_null_empty_repeated_and_very_long(spark, library, monkeypatch):
     assert both_ways(df.limit(0)) == []
 
 
-def test_small_blocks(spark, library):
+def test_blocks_with_many_buckets(library):
     import pyarrow as pa
-
-    texts = [f"word{i} and word{i + 1} again" for i in range(50)]
-    blocks = [bpe._Block(0)]
     import regex
 
-    cut = regex.compile(public_tokenizers.PATTERN).findall
-    rows = blocks[0].add(list(range(50)), texts, cut)
-    words = pa.Table.from_batches(list(blocks[0].words()))
-    ids = [__import__("numpy").asarray(library.encode_ordinary(w.decode()), "<i4").tobytes() for w in words.column("word").to_pylist()]
-    table = pa.table({"number": words.column("number"), "ids": pa.array(ids, pa.binary())})
-    done = bpe._assemble(table, pa.Table.from_batches([rows]))
+    texts = [f"word{i} and word{i + 1} again" for i in range(50)] + ["", " "]
+    block = bpe._Block(0, 7)
+    rows = pa.Table.from_batches([block.add(list(range(52)), texts, regex.compile(public_tokenizers.PATTERN).findall), block.words()])
+    buckets = rows.filter(pa.compute.greater_equal(rows.column("bucket"), 0))
+    merged = pa.concat_tables([bpe._merge(buckets.slice(i, 1), PATH) for i in reversed(range(buckets.num_rows))])
+    done = bpe._assemble(merged, rows.filter(pa.compute.less(rows.column("bucket"), 0)))
     assert done.column("ids").to_pylist() == [library.encode_ordinary(t) for t in texts]
 
 
