@@ -154,22 +154,33 @@ def store_export_import(spark, sf):
         F.col("features")["length"].alias("f_length"), "name", "num_reviews")
 
 
-@query(P.with_reviews("""
-SELECT review_id, game_id, username, rating, label AS category, (game_id % 2)::BIGINT AS odd,
-  count(*) OVER (PARTITION BY game_id)::BIGINT AS num_reviews
+CATEGORY_COUNTS = """
+per AS (SELECT game_id, count(*) AS total_reviews, count(*) FILTER (WHERE label = 'positive') AS n_positive,
+  count(*) FILTER (WHERE label = 'neutral') AS n_neutral, count(*) FILTER (WHERE label = 'negative') AS n_negative FROM lab GROUP BY game_id)"""
+
+
+@query(lambda: P.with_reviews("""
+SELECT review_id, game_id, username, lab.rating, label AS category, name, rank AS overall_rank, total_all AS stats_reviews,
+  count(*) OVER (PARTITION BY game_id)::BIGINT AS num_loaded, total_reviews, n_positive, n_neutral, n_negative
 FROM (SELECT * FROM lab QUALIFY row_number() OVER (PARTITION BY game_id, label IN ('positive', 'negative') ORDER BY review_id) <= 5
-      AND label IN ('positive', 'negative'))"""))
+      AND label IN ('positive', 'negative')) lab JOIN meta USING (game_id) JOIN per USING (game_id)""", META, CATEGORY_COUNTS.strip()))
 def store_roundtrip(spark, sf):
-    """Save twice (idempotent), load with pushed filters and a limit per item."""
+    """Save everything, save one item again, load with pushed filters and a limit per item; counts are the saved ones."""
     store = ReviewStore(spark, scratch_dir(spark, "store"))
     r = V.reviews(spark, sf)
-    games = V.games(spark, sf).select("game_id")
-    store.save(r, games)
-    store.save(r, games)
-    loaded_games, loaded = store.load(categories=["positive", "negative"], limit=5)
-    counts = loaded.groupBy("game_id").agg(F.count(F.lit(1)).alias("num_reviews"))
-    return loaded.join(loaded_games.select("game_id", (F.col("game_id") % 2).alias("odd")), "game_id").join(
-        counts, "game_id").select("review_id", "game_id", "username", "rating", "category", "odd", "num_reviews")
+    metadata = M.build_metadata(V.games(spark, sf), V.game_ranks(spark, sf), V.game_stats(spark, sf))
+    store.save(r, metadata)
+    one = F.col("game_id") == 1
+    store.save(r.filter(one), metadata.filter(one))
+    items, loaded = store.load(categories=["positive", "negative"], limit=5)
+    counts = loaded.groupBy("game_id").agg(F.count(F.lit(1)).alias("num_loaded"))
+    saved = [F.coalesce(F.try_element_at("categories_count", F.lit(c)), F.lit(0).cast("bigint")).alias(f"n_{c}")
+             for c in ("positive", "neutral", "negative")]
+    items = items.select("game_id", F.col("game_info.name").alias("name"), "rankings.overall_rank",
+                         F.col("stats.num_reviews").alias("stats_reviews"), F.col("num_reviews").alias("total_reviews"), *saved)
+    return loaded.join(items, "game_id").join(counts, "game_id").select(
+        "review_id", "game_id", "username", "rating", "category", "name", "overall_rank", "stats_reviews", "num_loaded",
+        "total_reviews", "n_positive", "n_neutral", "n_negative")
 
 
 @query(P.with_reviews("""

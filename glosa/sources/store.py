@@ -1,22 +1,22 @@
-"""Document store on Parquet: two datasets, ``games`` and ``reviews``.
+"""Document store on Parquet: two tables, ``games`` and ``reviews``, in buckets of the item id.
 
-Reviews are partitioned by category and clustered by item inside the files, so
-item filters are answered by file statistics.  One folder per item would mean
-millions of folders at scale.
+Inside a bucket, reviews are partitioned by category and clustered by item, so item filters
+are answered by the bucket and file statistics.  One folder per item would mean millions of
+folders at scale.
 """
 
 from __future__ import annotations
 
 from functools import reduce
-from pathlib import PurePosixPath
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from glosa.operators.merge import keep_last
 from glosa.operators.skew import first_n
 from glosa.schemas import GAME_METADATA
+from glosa.sources.buckets import BucketStore, Table
 
 REVIEW_COLUMNS = "game_id bigint, review_id bigint, username string, rating double, comment string, " \
     "ts bigint, lang string, clean_text string, tokens array<string>, features map<string,double>, category string"
@@ -25,79 +25,63 @@ REVIEW_COLUMNS = "game_id bigint, review_id bigint, username string, rating doub
 class ReviewStore:
     """Save, load, summarise and clear a corpus under one path.
 
-    Every save writes a new version folder and then the pointer to it, so a
-    reader or a restarted job never sees half a write.
+    A save rewrites only the buckets of the saved items (``BucketStore``).
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
-
-    def _folder(self, name: str) -> str:
-        return str(PurePosixPath(self.path) / name) if "://" not in self.path else f"{self.path}/{name}"
-
-    def _versions(self) -> list[int]:
-        try:
-            rows = self.spark.read.schema("version bigint").json(self._folder("versions")).collect()
-        except AnalysisException:
-            return []
-        return sorted(r.version for r in rows if r.version is not None)
-
-    def _current(self) -> int | None:
-        found = self._versions()
-        return found[-1] if found else None
-
-    def _read(self, name: str, schema) -> DataFrame:
-        version = self._current()
-        if version is None:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(self._folder(f"v{version}/{name}"))
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark = spark
+        games, reviews = StructType.fromDDL(self.game_schema), StructType.fromDDL(REVIEW_COLUMNS)
+        self.files = BucketStore(spark, path, {
+            "games": Table(games, "game_id", order=("game_id",)),
+            "reviews": Table(reviews, "game_id", ("category",), ("game_id", "review_id")),
+        }, buckets)
 
     @property
     def game_schema(self) -> str:
         fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in GAME_METADATA.fields)
-        return f"game_id bigint, {fields}, num_reviews bigint"
+        return f"game_id bigint, {fields}, num_reviews bigint, categories_count map<string,bigint>"
 
     def games(self) -> DataFrame:
-        return self._read("games", self.game_schema)
+        return self.files.read("games")
 
     def reviews(self) -> DataFrame:
-        return self._read("reviews", REVIEW_COLUMNS)
-
-    def _commit(self, games: DataFrame, reviews: DataFrame) -> None:
-        version = (self._current() or 0) + 1
-        games.write.mode("overwrite").parquet(self._folder(f"v{version}/games"))
-        (reviews.repartitionByRange("category", "game_id", "review_id")
-         .sortWithinPartitions("category", "game_id", "review_id")
-         .write.mode("overwrite").partitionBy("category").parquet(self._folder(f"v{version}/reviews")))
-        self.spark.range(1).select(F.lit(version).cast("bigint").alias("version")).coalesce(1).write.mode(
-            "append"
-        ).json(self._folder("versions"))
-
-    def save(self, documents: DataFrame, games: DataFrame) -> None:
-        """Upsert items by id and replace the reviews of the saved items; saving twice changes nothing."""
-        wanted = [c.strip().split(" ") for c in REVIEW_COLUMNS.split(", ")]
+        return self.files.read("reviews")
+
+    def save(self, documents: DataFrame, games: DataFrame) -> int:
+        """Upsert items by id and replace the reviews of the saved items; saving twice changes nothing.
+
+        An item is kept with its number of reviews, in all and per category (those without one are in the first
+        number only).  Returns the store's new version.
+        """
+        schemas = {name: table.schema for name, table in self.files.tables.items()}
         have = set(documents.columns)
         new = documents.select(*[
-            (F.col("label") if n == "category" and "label" in have else F.col(n) if n in have else F.lit(None))
-            .cast(kind).alias(n) for n, kind in wanted
+            (F.col("label") if f.name == "category" and "label" in have else F.col(f.name) if f.name in have else F.lit(None))
+            .cast(f.dataType).alias(f.name) for f in schemas["reviews"].fields
         ])
-        counts = new.groupBy("game_id").agg(F.count(F.lit(1)).alias("num_reviews"))
-        incoming = games.join(counts, "game_id", "left").na.fill(0, ["num_reviews"])
-        fields = self.games().columns
+        incoming = games.drop("num_reviews", "categories_count").join(saved_counts(new), "game_id", "left").withColumn(
+            "num_reviews", F.coalesce("num_reviews", F.lit(0).cast("bigint"))).withColumn(
+            "categories_count", F.coalesce("categories_count", F.map_from_arrays(
+                F.array().cast("array<string>"), F.array().cast("array<bigint>"))))
         incoming = incoming.select(*[
-            F.col(n) if n in incoming.columns else F.lit(None).cast(self.games().schema[n].dataType).alias(n)
-            for n in fields
+            (F.col(f.name) if f.name in incoming.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas["games"].fields
         ])
         ids = incoming.select("game_id").unionByName(new.select("game_id")).distinct()
-        kept_games = self.games().join(incoming.select("game_id"), "game_id", "left_anti")
-        kept_reviews = self.reviews().join(ids, "game_id", "left_anti")
-        self._commit(kept_games.unionByName(incoming), kept_reviews.unionByName(new))
+
+        def change(held: dict[str, DataFrame]) -> dict[str, DataFrame]:
+            kept = held["games"].join(incoming.select("game_id"), "game_id", "left_anti")
+            return {"games": kept.unionByName(incoming),
+                    "reviews": held["reviews"].join(ids, "game_id", "left_anti").unionByName(new)}
+
+        return self.files.update(self.files.touched(ids), change)
 
     def load(
         self, game_ids: list[int] | None = None, categories: list[str] | None = None, limit: int | None = None
     ) -> tuple[DataFrame, DataFrame]:
         """(games, reviews) with pushed-down filters; ``limit`` counts per item, in review order."""
-        games, reviews = self.games(), self.reviews()
+        manifest = self.files.manifest()
+        buckets = sorted({self.files.bucket_number(i) for i in game_ids}) if game_ids else None
+        games, reviews = (self.files.read(name, manifest, buckets) for name in ("games", "reviews"))
         if game_ids:
             games = games.filter(F.col("game_id").isin(*game_ids))
             reviews = reviews.filter(F.col("game_id").isin(*game_ids))
@@ -115,24 +99,22 @@ class ReviewStore:
         conditions = [F.col("game_id") == game_id]
         if category is not None:
             conditions.append(F.col("category") == category)
-        found = self.reviews().filter(reduce(lambda a, b: a & b, conditions))
+        found = self.files.read("reviews", buckets=[self.files.bucket_number(game_id)]).filter(reduce(lambda a, b: a & b, conditions))
         return found.orderBy("review_id").limit(limit) if limit else found
 
     def game_metadata(self, game_id: int) -> DataFrame:
-        return self.games().filter(F.col("game_id") == game_id)
+        return self.files.read("games", buckets=[self.files.bucket_number(game_id)]).filter(F.col("game_id") == game_id)
 
     def clear(self) -> None:
-        """Commit empty datasets of the same schema."""
-        self._commit(
-            self.spark.createDataFrame([], self.game_schema), self.spark.createDataFrame([], REVIEW_COLUMNS)
-        )
+        """Commit empty tables; earlier versions stay readable."""
+        self.files.clear()
 
     def export_json(self, path: str, per_record: int | None = None) -> None:
         from glosa.sources.writers import REVIEWS_PER_RECORD, write_corpus
 
         games, reviews = self.load()
         write_corpus(
-            reviews.withColumnRenamed("category", "label"), games.drop("num_reviews"), path,
+            reviews.withColumnRenamed("category", "label"), games.drop("num_reviews", "categories_count"), path,
             per_record=per_record or REVIEWS_PER_RECORD,
         )
 
@@ -144,6 +126,14 @@ class ReviewStore:
         self.save(documents.withColumn("review_id", F.coalesce("review_id", made)), games)
 
 
+def saved_counts(reviews: DataFrame) -> DataFrame:
+    """Per item: ``num_reviews`` and ``categories_count``, a map of the categories present."""
+    each = reviews.groupBy("game_id", "category").agg(F.count(F.lit(1)).alias("n"))
+    entries = F.collect_list(F.when(F.col("category").isNotNull(), F.struct("category", "n")))
+    return each.groupBy("game_id").agg(
+        F.sum("n").alias("num_reviews"), F.map_from_entries(F.array_sort(entries)).alias("categories_count"))
+
+
 def category_totals(reviews: DataFrame, category: str = "category") -> DataFrame:
     """Count and mean rating per category, and of everything, in one pass."""
     return reviews.rollup(category).agg(

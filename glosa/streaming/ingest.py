@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from glosa.sources.buckets import BucketStore, Table
 from glosa.sources.store import upsert_stats
 
 DEDUP_KEYS = ("username", "rating", "ts")
@@ -40,19 +41,26 @@ def start_dedup(stream: DataFrame, target: str, checkpoint: str, **options) -> S
     )
 
 
-def start_stats_upsert(stream: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    """Keep-last upsert of stats rows; every batch writes its own version folder.
+def stats_files(spark: SparkSession, target: str, schema: StructType, buckets: int = 64) -> BucketStore:
+    return BucketStore(spark, target, {"stats": Table(schema, "game_id", order=("game_id",))}, buckets)
 
-    A replayed batch overwrites the folder of its own id from the folder before
-    it, so a restart cannot apply a batch twice.
+
+def start_stats_upsert(stream: DataFrame, target: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Keep-last upsert of stats rows; a batch rewrites only the buckets of its items.
+
+    The number of the batch is committed with its rows, so a replayed batch is left out.
     """
+    schema = StructType(list(stream.schema.fields))
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        previous = f"{target}/batch={batch_id - 1}"
-        schema = StructType([f for f in batch.schema.fields])
-        existing = spark.read.schema(schema).parquet(previous) if batch_id > 0 else spark.createDataFrame([], schema)
-        upsert_stats(existing, batch).write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+        files = stats_files(batch.sparkSession, target, schema, buckets)
+        if files.manifest().tags.get("batch", -1) >= batch_id:
+            return
+        rows = batch.persist()
+        try:
+            files.update(files.touched(rows.select("game_id")), lambda held: {"stats": upsert_stats(held["stats"], rows)}, {"batch": batch_id})
+        finally:
+            rows.unpersist()
 
     return (
         stream.writeStream.foreachBatch(apply)
@@ -62,5 +70,11 @@ def start_stats_upsert(stream: DataFrame, target: str, checkpoint: str) -> Strea
     )
 
 
-def latest_stats(spark: SparkSession, target: str, schema: StructType, batch_id: int) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{target}/batch={batch_id}")
+def latest_stats(spark: SparkSession, target: str, schema: StructType, batch_id: int | None = None, buckets: int = 64) -> DataFrame:
+    """The stats as of a batch, or as they are now."""
+    files = stats_files(spark, target, schema, buckets)
+    for version in reversed(files.versions()) if batch_id is not None else ():
+        manifest = files.manifest(version)
+        if manifest.tags.get("batch") == batch_id:
+            return files.read("stats", manifest)
+    return files.read("stats")

@@ -200,3 +200,85 @@ def test_large_vocabularies_are_numbered_in_order(spark):
     words = spark.range(5000).select(F.concat(F.lit("w"), F.hex(F.xxhash64("id"))).alias("w"))
     rows = number_alphabetically(words, "w").orderBy("idx").collect()
     assert [r.idx for r in rows] == list(range(5000)) and [r.w for r in rows] == sorted(r.w for r in rows)
+
+
+def _reviews(spark, rows):
+    return spark.createDataFrame(rows, "game_id bigint, review_id bigint, label string")
+
+
+def _files(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def test_saving_one_item_leaves_other_buckets_alone(spark, tmp_path):
+    store = ReviewStore(spark, str(tmp_path / "s"), buckets=8)
+    rows = [(g, 10 * g + i, "positive" if i else None) for g in range(1, 21) for i in range(3)]
+    games = spark.range(1, 21).selectExpr("id AS game_id")
+    store.save(_reviews(spark, rows), games)
+    before, sets = _files(tmp_path / "s"), store.files.manifest().sets
+    assert {r.game_id: (r.num_reviews, r.categories_count) for r in store.games().collect()}[7] == (3, {"positive": 2})
+    store.save(_reviews(spark, [(7, 1, "negative")]), games.filter("game_id = 7"))
+    now = store.files.manifest().sets
+    mine = str(store.files.bucket_number(7))
+    assert {b for b in now["reviews"] if now["reviews"][b] != sets["reviews"][b]} == {mine}
+    assert before.items() <= _files(tmp_path / "s").items()
+    assert store.reviews().count() == 58 and store.reviews_by_game(7).first().category == "negative"
+    assert {r.game_id: r.categories_count for r in store.games().collect()}[7] == {"negative": 1}
+    assert sorted(r.game_id for r in store.load([3, 7])[0].collect()) == [3, 7]
+    plan = store.load([3])[1]._jdf.queryExecution().executedPlan().toString()
+    assert "(1 paths)" in plan
+
+
+def test_buckets_agree_with_the_driver(spark, tmp_path):
+    files = ReviewStore(spark, str(tmp_path / "s"), buckets=7).files
+    keys = [0, 1, 5, 2**31, 2**40 + 3, 2**62]
+    got = [r.b for r in spark.createDataFrame([(k,) for k in keys], "k bigint").select(files.bucket_of(F.col("k")).alias("b")).collect()]
+    assert got == [files.bucket_number(k) for k in keys]
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    from glosa.sources.buckets import BucketStore, Table
+    from pyspark.sql.types import StructType
+
+    table = {"t": Table(StructType.fromDDL("k bigint, v bigint"), "k")}
+    files = BucketStore(spark, str(tmp_path / "b"), table, 4)
+    add = lambda k: lambda held: {"t": held["t"].unionByName(spark.createDataFrame([(k, 1)], "k bigint, v bigint"))}
+    calls = []
+
+    def slow(held):
+        calls.append(1)
+        if len(calls) == 1:  # another writer commits to the same and to another bucket meanwhile
+            files.update([files.bucket_number(1)], add(1))
+            files.update([files.bucket_number(2)], add(2))
+        return add(1)(held)
+
+    files.update([files.bucket_number(1)], slow)
+    assert len(calls) == 2 and files.versions() == [1, 2, 3]
+    assert sorted(r.k for r in files.read("t").collect()) == [1, 1, 2]
+    assert files.read("t", files.manifest(1)).count() == 1
+    # A writer of another bucket only has to publish again.
+    calls.clear()
+
+    def other(held):
+        calls.append(1)
+        files.update([files.bucket_number(1)], add(1))
+        return add(2)(held)
+
+    assert files.bucket_number(1) != files.bucket_number(2)
+    files.update([files.bucket_number(2)], other)
+    assert len(calls) == 1 and files.read("t").count() == 5
+    assert not files._publish(f"{files.path}/manifests/1.json", "{}")
+
+
+def test_replayed_batch_is_left_out(spark, tmp_path):
+    from glosa.streaming import ingest
+
+    source = tmp_path / "in"
+    spark.createDataFrame([(1, 5, 1), (2, 6, 2)], "game_id bigint, total_all bigint, seq bigint").write.json(str(source))
+    schema = spark.read.json(str(source)).schema
+    for checkpoint in ("c1", "c2"):  # the second run replays batch 0 on the same target
+        job = ingest.start_stats_upsert(ingest.stream_reviews(spark, str(source), schema), str(tmp_path / "t"), str(tmp_path / checkpoint))
+        job.awaitTermination()
+    files = ingest.stats_files(spark, str(tmp_path / "t"), schema)
+    assert files.versions() == [1] and files.manifest().tags == {"batch": 0}
+    assert sorted((r.game_id, r.total_all) for r in ingest.latest_stats(spark, str(tmp_path / "t"), schema).collect()) == [(1, 5), (2, 6)]
