@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glosa.functions import features as X
@@ -11,7 +14,9 @@ from glosa.operators import metrics as E
 from glosa.operators import models as Ml
 from glosa.operators import split as Sp
 from glosa.operators import vectors as Vx
+from glosa.plans import bayes_sql as Bs
 from glosa.plans import oracle_parts as P
+from glosa.plans import text_queries as T
 from glosa.plans import views as V
 from glosa.plans.registry import query
 from glosa.session import cut_lineage, scratch_dir
@@ -258,6 +263,9 @@ def results_ranking(spark, sf):
 
 
 # ------------------------------------------------------------------------ models
+LABELS = list(B.CATEGORIES)
+
+
 def _prepared(spark, sf, max_features: int = 200):
     """Vectorised and split reviews, written once; every model below reads them."""
     docs = cut_lineage(V.documents(spark, sf).filter("label IS NOT NULL").select("review_id", "game_id", "label", "lang", "comment", "tokens"))
@@ -266,36 +274,120 @@ def _prepared(spark, sf, max_features: int = 200):
     return cut_lineage(Sp.stratified_split(vectors.select("review_id", "label", "ngrams", "opinion")))
 
 
-def _train_eval(spark, sf, model: str, **settings):
-    rows = _prepared(spark, sf)
-    if model == "naive_bayes":
-        low = Ml.minimum_value(rows.filter("split = 'train'"), "opinion")
-        rows = Ml.shift_positive(rows, "opinion", "opinion", low)
-    parts = {s: rows.filter(F.col("split") == s) for s in Sp.SPLITS}
-    fitted, failed = Ml.train_models(parts["train"], list(B.CATEGORIES), (model,), ("ngrams", "combined"), overrides={model: settings})
-    if failed:
-        raise RuntimeError(str(failed))
-    return Ml.evaluate_all(fitted, parts["val"], parts["test"])
+def _countable(spark, sf, max_features: int):
+    """As ``_prepared``, with the features that ``bayes_sql`` restates: all terms, word features and valence."""
+    docs = V.documents(spark, sf).filter("label IS NOT NULL AND size(tokens) > 0")
+    wide = cut_lineage(T.opinion_features(docs.select("review_id", "label", "lang", "comment", "tokens")))
+    vectors = Ml.ReviewVectorizer(max_features=max_features).fit(wide).transform(wide)
+    return cut_lineage(Sp.stratified_split(vectors.select("review_id", "label", "ngrams", "opinion")))
 
 
-@query()
+PARTS = SIZES.strip().replace("FROM lab WHERE label IS NOT NULL", "FROM base") + f""",
+main AS (SELECT 0 AS run, review_id, label, CASE WHEN rk <= rest - val THEN 'train' WHEN rk <= rest THEN 'val' ELSE 'test' END AS split
+  FROM (SELECT review_id, label, rest, val, row_number() OVER (PARTITION BY label ORDER BY {P.KEY}, review_id) AS rk FROM base JOIN sizes USING (label)))"""
+COLUMNS = ("accuracy", "precision", "recall", "f1", "composite")
+
+
+def _nb_sql() -> str:
+    metrics = ", ".join(
+        f"round(max({sql}) FILTER (WHERE split = '{split}'), 6) AS \"{split}_{name}\"" for split in ("val", "test")
+        for name, sql in zip(COLUMNS, ("accuracy", "prec", "rec", "f", "(accuracy + prec + rec + f) / 4")))
+    subsets = {"ngrams": "t", "opinion": "o", "combined": "to"}
+    return P.with_docs(
+        f"SELECT 'naive_bayes' AS model, split_part(g, '/', 1) AS features, {metrics} FROM (SELECT *, split_part(g, '/', 2) AS split FROM summ) GROUP BY ALL",
+        *Bs.vectors_cte(5000), PARTS, "part AS (SELECT * FROM main)", *Bs.scores_cte(subsets, [1.0]),
+        CLASSES.format(g="subset || '/' || split").strip())
+
+
+@query(_nb_sql)
 def nb_train_eval(spark, sf):
-    return _train_eval(spark, sf, "naive_bayes")
+    """All three feature subsets at the full settings, judged on validation and test rows."""
+    rows = _countable(spark, sf, 5000)
+    parts = {s: rows.filter(F.col("split") == s) for s in Sp.SPLITS}
+    fitted, failed = Ml.train_models(parts["train"], LABELS, ("naive_bayes",))
+    if failed:
+        raise RuntimeError(str(failed))
+    found = Ml.evaluate_all(fitted, parts["val"], parts["test"])
+    return found.select("model", "features", *[F.round(f"{s}_{c}", 6).alias(f"{s}_{c}") for s in ("val", "test") for c in COLUMNS])
+
+
+def _tune_sql() -> str:
+    folds = """folded AS (SELECT review_id, label, CASE WHEN rk <= n * 1 // 3 THEN 0 WHEN rk <= n * 2 // 3 THEN 1 ELSE 2 END AS fold
+  FROM (SELECT review_id, label, count(*) OVER (PARTITION BY label) AS n, row_number() OVER (PARTITION BY label ORDER BY """ + P.KEY + """, review_id) AS rk
+        FROM main WHERE split = 'train')),
+part AS (SELECT run, review_id, label, CASE WHEN fold = run THEN 'held' ELSE 'train' END AS split FROM folded CROSS JOIN (SELECT unnest([0, 1, 2]) AS run))"""
+    return P.with_docs("""
+SELECT lam AS smoothing, round(avg(c), 6) AS composite, lam = (SELECT lam FROM mean ORDER BY round(c, 9) DESC, lam LIMIT 1) AS chosen,
+  (SELECT count(*) FROM folded WHERE fold = 0) AS rows_0, (SELECT count(*) FROM folded WHERE fold = 1) AS rows_1, (SELECT count(*) FROM folded WHERE fold = 2) AS rows_2
+FROM point GROUP BY lam""", *Bs.vectors_cte(5000), PARTS, folds, *Bs.scores_cte({"ngrams": "t"}, Ml.GRIDS["naive_bayes"]["smoothing"]),
+        CLASSES.format(g="CAST(run AS VARCHAR) || '/' || CAST(lam AS VARCHAR)").strip(), """
+point AS (SELECT CAST(split_part(g, '/', 2) AS DOUBLE) AS lam, (accuracy + prec + rec + f) / 4 AS c FROM summ),
+mean AS (SELECT lam, avg(c) AS c FROM point GROUP BY lam)""".strip())
+
+
+@query(_tune_sql)
+def tune_grid(spark, sf):
+    """The whole grid of naive Bayes on the same three folds of the training rows: scores, fold sizes, the point chosen."""
+    train = _countable(spark, sf, 5000).filter("split = 'train'").drop("split")
+    scores = Ml.search_grid(train, "naive_bayes", "ngrams", LABELS)
+    chosen = Ml.best_point(scores)
+    sizes = Ml.fold_numbers(train).groupBy().pivot("fold", [0, 1, 2]).count().toDF("rows_0", "rows_1", "rows_2")
+    points = spark.createDataFrame(
+        [(s.params["smoothing"], s.mean, s is chosen) for s in scores], "smoothing double, composite double, chosen boolean")
+    return points.crossJoin(F.broadcast(sizes)).withColumn("composite", F.round("composite", 6))
+
+
+def _majority_sql(model: str, subsets: tuple[str, ...]) -> str:
+    rows = ", ".join(f"('{model}', '{s}')" for s in subsets)
+    return P.with_docs(f"""
+SELECT model, features, n_train, n_val, n_test, TRUE AS not_below_majority FROM (VALUES {rows}) AS m(model, features),
+  (SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'val') AS n_val, count(*) FILTER (WHERE split = 'test') AS n_test FROM main)""",
+        Bs.BASE, PARTS)
+
+
+def _against_majority(spark, sf, model: str, subsets: tuple[str, ...] = Ml.SUBSETS, **settings):
+    """Split sizes, and whether the fitted model is right on its training rows at least as often as the largest class."""
+    rows = _prepared(spark, sf)
+    train = rows.filter("split = 'train'")
+    fitted, failed = Ml.train_models(train, LABELS, (model,), subsets, overrides={model: settings})
+    if failed:
+        raise RuntimeError(str(failed))
+    share = train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).agg((F.max("n") / F.sum("n")).alias("majority"))
+    sizes = rows.agg(*[F.count_if(F.col("split") == s).alias(f"n_{s}") for s in Sp.SPLITS])
+    scores = reduce(DataFrame.unionByName, [Ml.evaluate(chain, train, model=m, features=s) for (m, s), chain in fitted.items()])
+    return scores.crossJoin(F.broadcast(share)).crossJoin(F.broadcast(sizes)).select(
+        "model", "features", "n_train", "n_val", "n_test", (F.col("accuracy") >= F.col("majority")).alias("not_below_majority"))
 
 
-@query()
+@query(lambda: _majority_sql("random_forest", Ml.SUBSETS))
 def forest_train_eval(spark, sf):
-    return _train_eval(spark, sf, "random_forest", numTrees=10, maxDepth=5)
+    return _against_majority(spark, sf, "random_forest", numTrees=10, maxDepth=5)
 
 
-@query()
+@query(lambda: _majority_sql("linear_sgd", Ml.SUBSETS))
 def svc_train_eval(spark, sf):
-    return _train_eval(spark, sf, "linear_sgd", maxIter=10)
+    return _against_majority(spark, sf, "linear_sgd", maxIter=10)
 
 
-@query()
+@query(lambda: _majority_sql("boosted_trees", ("ngrams", "opinion")))
 def boosted_train_eval(spark, sf):
-    return _train_eval(spark, sf, "boosted_trees", maxIter=3, maxDepth=3)
+    return _against_majority(spark, sf, "boosted_trees", ("ngrams", "opinion"), maxIter=3, maxDepth=3)
+
+
+@query(lambda: P.with_docs("""
+SELECT label, n, documents, ngram_features, opinion_features, 12::BIGINT AS trained, 12::BIGINT AS combinations, 12::BIGINT AS ranked
+FROM (SELECT label, count(*) AS n, sum(count(*)) OVER ()::BIGINT AS documents FROM base GROUP BY label),
+  (SELECT count(*) FILTER (WHERE block = 't') AS ngram_features, count(*) FILTER (WHERE block = 'o') AS opinion_features FROM (SELECT DISTINCT block, f FROM x))""",
+    *Bs.vectors_cte(100)))
+def model_run(spark, sf):
+    """Four models on three subsets as one chain (small settings): trained, evaluated, ranked, written; the summary is read back."""
+    path = scratch_dir(spark, "models")
+    small = {"random_forest": {"numTrees": 3, "maxDepth": 3}, "linear_sgd": {"maxIter": 3}, "boosted_trees": {"maxIter": 1, "maxDepth": 2}}
+    Ml.run_models(_countable(spark, sf, 100), LABELS, path, overrides=small)
+    ranked = spark.read.option("header", True).csv(f"{path}/results").agg(F.count(F.lit(1)).alias("ranked"))
+    summary = spark.read.json(f"{path}/summary").select(
+        F.inline("classes"), "documents", "ngram_features", "opinion_features", "trained", "combinations")
+    return summary.crossJoin(F.broadcast(ranked))
 
 
 @query()

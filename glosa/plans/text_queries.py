@@ -352,6 +352,11 @@ def sentence_valence(spark, sf):
     return _long(d.select("review_id", S.sentence_summary(F.col("scores")).alias("s")))
 
 
+TEXT_WORDS = r"""
+words AS (SELECT review_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM (
+  SELECT review_id, regexp_extract_all(lower(comment), '[\pL\pN_]+') AS w FROM rev))"""
+
+
 def _text_valence_sql() -> str:
     return P.with_reviews("""
 SELECT review_id, round(s / sqrt(s * s + 15), 6) AS compound, round(CASE WHEN w > 0 THEN p / w ELSE 0 END, 6) AS pos,
@@ -359,9 +364,24 @@ SELECT review_id, round(s / sqrt(s * s + 15), 6) AS compound, round(CASE WHEN w
 FROM (SELECT *, p + g + u AS w FROM (
   SELECT review_id, coalesce(sum(score), 0) AS s, coalesce(sum(score + 1) FILTER (WHERE score > 0), 0) AS p,
     coalesce(sum(abs(score - 1)) FILTER (WHERE score < 0), 0) AS g, CAST(count(*) FILTER (WHERE score = 0) AS DOUBLE) AS u
-  FROM rev LEFT JOIN scored USING (review_id) GROUP BY review_id))""", r"""
-words AS (SELECT review_id, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM (
-  SELECT review_id, regexp_extract_all(lower(comment), '[\pL\pN_]+') AS w FROM rev))""".strip(), _scored("words", "review_id").strip())
+  FROM rev LEFT JOIN scored USING (review_id) GROUP BY review_id))""", TEXT_WORDS.strip(), _scored("words", "review_id").strip())
+
+
+def opinion_ctes() -> list[str]:
+    """CTEs that end in opinion(review_id, feature, value): word features and the valence of the text."""
+    valence = """SELECT review_id, 'valence.compound', s / sqrt(s * s + 15)
+  FROM (SELECT review_id, coalesce(sum(score), 0) AS s FROM rev LEFT JOIN scored USING (review_id) GROUP BY review_id)"""
+    parts = "\nUNION ALL ".join([*feature_parts(), valence])
+    return [_band(), NEXT, TEXT_WORDS.strip(), _scored("words", "review_id").strip(), f"opinion AS ({parts})"]
+
+
+def opinion_features(df):
+    """``features`` of ``opinion_ctes``, for rows with review_id, comment and tokens."""
+    marked = df.withColumn("marks", LEX.marks("tokens"))
+    scored = S.with_text_scores(marked, "comment", LEX, "_scores")
+    valence = F.struct(F.lit("valence.compound").alias("feature"), S.valence_scores(F.col("_scores"))["compound"].alias("value"))
+    words = X.word_features(F.col("tokens"), F.col("marks"), LEX)
+    return scored.withColumn("features", F.map_from_entries(F.concat(F.array(valence), words))).drop("marks", "_scores")
 
 
 @query(_text_valence_sql)
@@ -492,7 +512,8 @@ def head_depth(spark, sf):
 
 
 # ------------------------------------------------------------------- long form
-def _feature_sql() -> str:
+def feature_parts() -> list[str]:
+    """(review_id, feature, value) of the word features, over toks, band and near."""
     single = {
         "hedge.words": ("hedge_words",), "hedge.propositional": ("propositional",), "hedge.relational": ("relational",),
         "hedge.discourse_marker": ("discourse",), "hedge.all": P.HEDGE, "lexicon.intensifier": ("intensifiers",),
@@ -507,7 +528,11 @@ def _feature_sql() -> str:
     parts.append(
         "SELECT review_id, 'negation.scope_word=' || word, CAST(count(*) AS DOUBLE) FROM (SELECT review_id, unnest([n1, n2, n3]) AS word "
         f"FROM near WHERE {P.lex('token', 'negations')}) WHERE word IS NOT NULL GROUP BY review_id, word")
-    return P.with_docs("\nUNION ALL ".join(parts), _band(), NEXT)
+    return parts
+
+
+def _feature_sql() -> str:
+    return P.with_docs("\nUNION ALL ".join(feature_parts()), _band(), NEXT)
 
 
 @query(_feature_sql)

@@ -282,3 +282,39 @@ def test_replayed_batch_is_left_out(spark, tmp_path):
     files = ingest.stats_files(spark, str(tmp_path / "t"), schema)
     assert files.versions() == [1] and files.manifest().tags == {"batch": 0}
     assert sorted((r.game_id, r.total_all) for r in ingest.latest_stats(spark, str(tmp_path / "t"), schema).collect()) == [(1, 5), (2, 6)]
+
+
+def test_folds_hold_their_share_of_every_class(spark):
+    df = spark.range(100).selectExpr("id AS review_id", "if(id % 10 = 0, 'a', 'b') AS label")
+    got = {(r.fold, r.label): r["count"] for r in Ml.fold_numbers(df, 3).groupBy("fold", "label").count().collect()}
+    assert got == {(0, "a"): 3, (1, "a"): 3, (2, "a"): 4, (0, "b"): 30, (1, "b"): 30, (2, "b"): 30}
+
+
+def test_grid_points_share_folds_and_fits(spark):
+    scores = Ml.search_grid(_vectors(spark), "naive_bayes", "ngrams", ["positive", "negative"], folds=3)
+    assert [s.params["smoothing"] for s in scores] == [0.1, 0.5, 1.0] and all(len(s.folds) == 3 for s in scores)
+    assert Ml.best_point(scores) is scores[0]  # all are right, the first one wins
+    mixed = Ml.search_grid(_vectors(spark), "linear_sgd", "ngrams", ["positive", "negative"], folds=2,
+                           grid={"loss": ["hinge", "log_loss"], "maxIter": [5]})
+    assert len(mixed) == 2 and all(0 <= s.mean <= 1 for s in mixed)
+
+
+def test_a_model_run_is_written(spark, tmp_path):
+    from glosa.operators import split as Sp
+
+    rows = Sp.stratified_split(_vectors(spark).select("review_id", "label", "ngrams", "opinion"))
+    ranked, summary = Ml.run_models(rows, ["positive", "negative"], str(tmp_path / "run"), ("naive_bayes", "unknown"), ("ngrams", "opinion"))
+    assert ranked.count() == 2 and spark.read.option("header", True).csv(str(tmp_path / "run" / "results")).count() == 2
+    row = spark.read.json(str(tmp_path / "run" / "summary")).first()
+    assert (row.documents, row.trained, row.combinations, row.features) == (24, 2, 4, row.ngram_features + row.opinion_features)
+    assert row.models == ["naive_bayes/ngrams", "naive_bayes/opinion"] and len(row.failed) == 2
+    assert [(c.label, c.n) for c in row.classes] == [("negative", 12), ("positive", 12)]
+    assert (tmp_path / "run" / "models" / "naive_bayes_ngrams").exists()
+
+
+def test_zeros_stay_zero_when_shifted(spark):
+    from pyspark.ml.linalg import Vectors
+
+    df = spark.createDataFrame([(Vectors.dense([0.0, -2.0, 1.0]),), (Vectors.sparse(3, [0, 1], [0.0, 3.0]),)], ["v"])
+    got = [r.w.toArray().tolist() for r in Ml.shift_positive(df, "v", "w").collect()]
+    assert got == [[0.0, 0.0, 3.0], [0.0, 5.0, 0.0]]
