@@ -10,11 +10,14 @@ from pyspark.sql import functions as F
 
 from glosa.functions import features as X
 from glosa.operators import balance as B
+from glosa.operators import language as La
 from glosa.operators import metrics as E
 from glosa.operators import models as Ml
 from glosa.operators import split as Sp
 from glosa.operators import vectors as Vx
+from glosa.operators.skew import portable_key
 from glosa.plans import bayes_sql as Bs
+from glosa.plans import build
 from glosa.plans import oracle_parts as P
 from glosa.plans import text_queries as T
 from glosa.plans import views as V
@@ -390,21 +393,66 @@ def model_run(spark, sf):
     return summary.crossJoin(F.broadcast(ranked))
 
 
-@query()
+@query(lambda: P.with_docs("SELECT review_id, label, TRUE AS same FROM main WHERE split = 'test'", Bs.BASE, PARTS))
 def splits_and_models_persist(spark, sf):
-    """Splits, vocabulary and a fitted chain saved, loaded and applied again."""
+    """Splits and a fitted chain saved, loaded and applied again: the test rows, and whether both chains agree on them."""
     rows = _prepared(spark, sf)
     split_path, model_path = scratch_dir(spark, "splits"), scratch_dir(spark, "model")
     writers.write_splits(rows, split_path)
     parts = writers.read_splits(spark, split_path)
-    Ml.training_chain("random_forest", "ngrams", list(B.CATEGORIES), numTrees=5, maxDepth=4).fit(parts["train"]).write().overwrite().save(model_path)
-    again = PipelineModel.load(model_path)
-    return again.transform(parts["test"]).select("review_id", "label", "predicted")
-
-
-@query()
+    chain = Ml.training_chain("random_forest", "ngrams", list(B.CATEGORIES), numTrees=5, maxDepth=4).fit(parts["train"])
+    chain.write().overwrite().save(model_path)
+    first, again = (c.transform(parts["test"]).select("review_id", "label", "predicted") for c in (chain, PipelineModel.load(model_path)))
+    both = first.join(again.select("review_id", F.col("predicted").alias("loaded")), "review_id")
+    return both.select("review_id", "label", (F.col("predicted") == F.col("loaded")).alias("same"))
+
+
+# ------------------------------------------------------------ language detection
+KNOWN = 3006477107  # seven tenths of the key space
+
+
+def _language_sql(rows: str, default: str, columns: str) -> list[str]:
+    """CTEs over ``rows`` (review_id, lang, t, known): fit on known rows, found(review_id, detected) for the others."""
+    return [rows, f"""
+chars AS (SELECT review_id, lang, known, list_filter(string_split(lower(trim(replace(t, chr(10), ' '))), ''), lambda c: c <> '') AS c FROM src),
+grams AS (SELECT review_id, lang, known, unnest(list_concat(
+    list_transform(range(1, len(c)), lambda i: c[i] || c[i + 1]), list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2]))) AS g FROM chars),
+vocab AS (SELECT g FROM grams WHERE known GROUP BY g ORDER BY count(*) DESC, g LIMIT 5000),
+cnt AS (SELECT review_id, lang, known, g, count(*) AS n FROM grams SEMI JOIN vocab USING (g) GROUP BY ALL),
+langs AS (SELECT lang, count(*) AS docs, sum(count(*)) OVER () AS every, count(*) OVER () AS k FROM src WHERE known AND trim(t) <> '' GROUP BY lang),
+mass AS (SELECT lang, sum(n) AS total FROM cnt WHERE known GROUP BY lang),
+theta AS (SELECT l.lang, v.g, ln(coalesce(c.n, 0) + 1) - ln(coalesce(m.total, 0) + (SELECT count(*) FROM vocab)) AS w
+  FROM langs l CROSS JOIN vocab v LEFT JOIN mass m ON m.lang = l.lang
+  LEFT JOIN (SELECT lang, g, sum(n) AS n FROM cnt WHERE known GROUP BY lang, g) c ON c.lang = l.lang AND c.g = v.g),
+score AS (SELECT s.review_id, l.lang, ln(l.docs + 1) - ln(l.every + l.k) + coalesce(x.s, 0) AS s
+  FROM src s CROSS JOIN langs l LEFT JOIN (SELECT c.review_id, t.lang, sum(c.n * t.w) AS s FROM cnt c JOIN theta t ON t.g = c.g WHERE NOT c.known GROUP BY ALL) x
+    ON x.review_id = s.review_id AND x.lang = l.lang WHERE NOT s.known),
+prob AS (SELECT review_id, lang, exp(s - max(s) OVER (PARTITION BY review_id)) / sum(exp(s - max(s) OVER (PARTITION BY review_id))) OVER (PARTITION BY review_id) AS p
+  FROM (SELECT *, s - max(s) OVER (PARTITION BY review_id) AS d FROM score)),
+found AS (SELECT src.review_id, {columns}, CASE WHEN trim(t) = '' OR t IS NULL OR p < 0.7 THEN '{default}' ELSE b.lang END AS detected
+  FROM src JOIN (SELECT review_id, arg_max(lang, p) AS lang, max(p) AS p FROM prob GROUP BY review_id) b USING (review_id) WHERE NOT known)""".strip().replace(
+        "exp(s - max(s) OVER (PARTITION BY review_id)) / sum(exp(s - max(s) OVER (PARTITION BY review_id))) OVER (PARTITION BY review_id)",
+        "exp(d) / sum(exp(d)) OVER (PARTITION BY review_id)")]
+
+
+@query(lambda: P.with_reviews("SELECT review_id, lang, detected FROM found", *_language_sql(
+    f"src AS (SELECT review_id, lang, comment AS t, {P.KEY} < {KNOWN} AS known FROM rev)", "en", "src.lang AS lang")))
 def detect_language(spark, sf):
-    """Language of every review from character n-grams, trained on the labelled rows."""
+    """Languages of the held-out reviews, learned from seven tenths of them."""
     r = V.reviews(spark, sf).select("review_id", "comment", "lang")
-    model = Ml.train_language_model(r)
-    return Ml.detect_language(model, r).select("review_id", "lang", "detected")
+    known = portable_key(F.col("review_id")) < KNOWN
+    model = La.train_language_model(r.filter(known))
+    return La.detect_language(model, r.filter(~known)).select("review_id", "lang", "detected")
+
+
+@query(lambda: P.with_docs("""
+SELECT review_id, CASE WHEN comment IS NULL OR trim(comment) = '' THEN 'unknown' ELSE lang END AS lang FROM docs WHERE review_id % 3 <> 0
+UNION ALL SELECT review_id, CASE WHEN comment IS NULL OR trim(comment) = '' THEN 'unknown' ELSE detected END FROM found""", *_language_sql(
+    "src AS (SELECT review_id, lang, comment, clean_text AS t, review_id % 3 <> 0 AS known FROM docs)", "en", "src.comment AS comment")))
+def build_languages(spark, sf):
+    """The processing step of the build on reviews of which a third comes without a language."""
+    r = V.reviews(spark, sf)
+    given = r.withColumn("lang", F.when(F.col("review_id") % 3 != 0, F.col("lang")))
+    cleaned = V.with_tokens(r).filter("review_id % 3 <> 0")
+    model = La.train_language_model(cleaned, "clean_text")
+    return build.process_reviews(given, language=model).select("review_id", "lang")

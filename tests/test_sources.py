@@ -318,3 +318,23 @@ def test_zeros_stay_zero_when_shifted(spark):
     df = spark.createDataFrame([(Vectors.dense([0.0, -2.0, 1.0]),), (Vectors.sparse(3, [0, 1], [0.0, 3.0]),)], ["v"])
     got = [r.w.toArray().tolist() for r in Ml.shift_positive(df, "v", "w").collect()]
     assert got == [[0.0, 0.0, 3.0], [0.0, 5.0, 0.0]]
+
+
+def test_languages_are_learned_and_missing_ones_found(spark):
+    from glosa.operators import language as La
+
+    words = {"en": "the thing with which they think", "de": "der zug fährt durch die lange nacht"}
+    rows = [(i, code, " ".join(words[code].split()[i % 3:]) + f" {i}") for i in range(40) for code in words]
+    df = spark.createDataFrame(rows, "review_id long, lang string, comment string")
+    model = La.train_language_model(df, size=200)
+    new = spark.createDataFrame(
+        [(1, "they think with the thing"), (2, "durch die nacht"), (3, "  "), (4, None), (5, "zzz")], "review_id long, comment string")
+    got = {r.review_id: r.detected for r in La.detect_language(model, new).collect()}
+    assert got[1] == "en" and got[2] == "de" and got[3] == got[4] == got[5] == "en"
+    some = La.detect_language(model, new, default="?", where=F.col("review_id") > 1).collect()
+    assert {r.review_id: r.detected for r in some} == {1: None, 2: "de", 3: "?", 4: "?", 5: "?"}
+    mixed = new.withColumn("lang", F.when(F.col("review_id") == 1, "fr"))
+    done = {r.review_id: r.lang for r in build.process_reviews(mixed, language=model).collect()}
+    assert done == {1: "fr", 2: "de", 3: "unknown", 4: "unknown", 5: "en"}
+    plan = La.detect_language(model, new)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
