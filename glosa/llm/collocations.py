@@ -2,22 +2,24 @@
 
 1. The documents of a split form shards, one per language at a time; a shard numbers its own words and
    is cut at piece borders.  Word counts are summed over all shards; only words that reach the threshold
-   can stand in a candidate, and their corpus-wide ids are joined back to the shards.
+   can stand in a candidate, and their corpus-wide ids go back to the shards.
 2. Every shard indexes its text of such words (all others separate pieces) to depth two.  Extending the
    interval of every word to the left in the Burrows-Wheeler transform gives the shard's pairs with
-   counts.  Pairs that reach the threshold in sum are joined back.
+   counts.  The shards are told which of their pairs reach the threshold in sum.
 3. Every shard keeps the stretches in which all neighbouring words are such pairs and indexes them in both
    directions to depth five.  Intervals of pairs are extended to phrases of three, four and five words;
-   the interval in the text gives the word on the left, the one in the reversed text the word on the
-   right.  A phrase comes with its count and, if all its occurrences in the shard have the same word
-   on that side, its left and right extension.
-4. Counts are summed.  A phrase lies inside a longer candidate of the same count if and only if the
-   shards agree on one extension; such phrases are dropped.  Counts of the two parts of every cut are joined
-   from the same table, and the score is computed in decimals of 38 digits.
-
-The sorting depth is limited, so equal stretches of any length cost nothing extra.  A frequent word, pair or phrase is
-one row per shard, never one per occurrence.  The list per language is ranked in two steps, over hashed slots first, so
-a language that holds most candidates passes a bounded number of rows to one task.
+   the interval in the text tells whether all occurrences have one word on the left, the one in the reversed
+   text whether they have one on the right.
+4. Counts are summed.  A phrase lies inside a longer candidate of the same count if and only if an extension by one
+   word has that count.  Only phrases that had a single extension on one side in every shard can have such a
+   one; they are compared with the summed counts of their left and right extensions, and dropped.  Counts
+   of the two parts of every cut are joined from the same table, and the score is computed in decimals of 38 digits.
+
+What shards send to be summed (words, pairs, phrases) is shuffled by a hash of the word, pair or phrase, ``BUCKETS``
+buckets per shuffle partition: a shard packs what belongs to one bucket into one compressed row, and equal ones of all
+shards meet in their bucket.  The texts stay where they were written, bucketed by shard.  A frequent word, pair or phrase is one entry per shard, never one per occurrence.
+The sorting depth is limited, so equal stretches of any length cost nothing extra.  The list per language is ranked in two
+steps, over hashed slots first, so a language that holds most candidates passes a bounded number of rows to one task.
 
 Defined results: null or empty text has no words; a null language counts as ``und``; repeated
 rows count each; ties go to the greater count, then to the phrase in byte order; an empty table
@@ -27,29 +29,87 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from operator import and_
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Win
 from pyspark.sql import functions as F
 
-from glosa.llm.buffers import row_ranges, squeeze, unsqueeze, utf8
-from glosa.llm.tables import quoted
+from glosa.llm.buffers import mix, row_ranges, slices, squeeze, unsqueeze, utf8
+from glosa.llm.tables import bucketed, quoted
 from glosa.session import cut_lineage
 
 LONGEST = 5
 #: Words of the open shards of a task, and distinct words of one shard, before the largest is closed.
 SHARD_TOKENS, SHARD_WORDS = 1 << 22, 1 << 19
-SLOTS = 64
-#: Bytes that never occur in UTF-8 stand for the end of a piece.
+BUCKETS, SLOTS = 4, 64
+#: A byte that never occurs in UTF-8 stands for the end of a piece.
 _END = b"\xff"
 _FORM = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz " + _END * 10)
-SHARD_FIELDS = "shard bigint, lang string, number int, word string, n bigint, body binary"
-PAIR_FIELDS = "shard bigint, x bigint, y bigint, n bigint, ids array<bigint>, body binary"
+#: Rows of shards: packed entries of one bucket; texts have the bucket -1, the buckets of a shard's words -2.
+SHARD_FIELDS = "shard bigint, lang string, bucket int, body binary, extra binary"
 WORDS = [f"w{i + 1}" for i in range(LONGEST)]
-PHRASE_FIELDS = ", ".join(f"{w} bigint" for w in WORDS) + ", n bigint, l bigint, r bigint"
+_SHARD = pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("bucket", pa.int32()), ("body", pa.binary()), ("extra", pa.binary())])
+#: Merged words: rows for the shards have a shard, rows of the vocabulary an id, totals a language alone.
+WORD_FIELDS = "shard bigint, bucket int, body binary, id bigint, lang string, word string, f bigint"
+_WORD = pa.schema([("shard", pa.int64()), ("bucket", pa.int32()), ("body", pa.binary()), ("id", pa.int64()),
+                   ("lang", pa.string()), ("word", pa.string()), ("f", pa.int64())])
+#: Merged pairs: rows for the shards have a shard, frequent pairs have none.
+PAIR_FIELDS = "shard bigint, bucket int, body binary, x bigint, y bigint, f bigint"
+_PAIR = pa.schema([("shard", pa.int64()), ("bucket", pa.int32()), ("body", pa.binary()), ("x", pa.int64()), ("y", pa.int64()), ("f", pa.int64())])
+PHRASE_FIELDS = ", ".join(f"{w} bigint" for w in WORDS) + ", f bigint, single boolean"
+_PHRASE = pa.schema([*((w, pa.int64()) for w in WORDS), ("f", pa.int64()), ("single", pa.bool_())])
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """64-bit columns as planes of bytes, most of which are nearly constant, compressed."""
+    planes = np.stack([np.asarray(c, "<i8") for c in columns]).view(np.uint8).reshape(len(columns), -1, 8)
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes.transpose(0, 2, 1)).tobytes())
+
+
+def _unpack(body: bytes, columns: int) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(body), np.uint8).reshape(columns, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8").reshape(columns, -1)
+
+
+def _hash(*columns: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(columns[0]), np.uint64)
+    for c in columns:
+        h = mix(h * np.uint64(0x9E3779B97F4A7C15) + c.astype(np.uint64) + np.uint64(1))
+    return h
+
+
+def _by_bucket(buckets: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """The order by bucket, and (bucket, first, last) of every bucket present."""
+    order = np.argsort(buckets, kind="stable")
+    present, first = np.unique(buckets[order], return_index=True)
+    return order, list(zip(present.tolist(), first.tolist(), [*first[1:].tolist(), len(order)]))
+
+
+def _same(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Columns x rows -> an order in which equal rows are neighbours, and where a new row starts."""
+    h = _hash(*columns)
+    order = np.argsort(h, kind="stable")
+    h, by_hash = h[order], columns[:, order]
+    new, other = np.ones(len(h), bool), np.ones(len(h), bool)
+    new[1:] = h[1:] != h[:-1]
+    other[1:] = (by_hash[:, 1:] != by_hash[:, :-1]).any(axis=0)
+    if not np.array_equal(new, other):  # different rows of one hash
+        order = np.lexsort(columns)
+        by_hash = columns[:, order]
+        other[1:] = (by_hash[:, 1:] != by_hash[:, :-1]).any(axis=0)
+    return order, other
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = list(zip(*rows)) if rows else [()] * len(schema)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
 class _Shard:
@@ -67,26 +127,25 @@ class _Shard:
         self.parts.append(_single_ends(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words))))
         self.tokens += len(self.parts[-1])
 
-    def rows(self, name: int) -> Iterator[pa.RecordBatch]:
+    def rows(self, name: int, buckets: int) -> pa.RecordBatch:
         text = np.concatenate(self.parts)
-        counts = np.bincount(text, minlength=len(self.numbers))
+        counts = np.bincount(text, minlength=len(self.numbers))[1:]
+        words = list(self.numbers)[1:]
+        of = np.fromiter(map(crc32, words), np.int64, len(words)) % buckets
+        rows = [(name, self.lang, -2, squeeze(of), None)]
         # A text longer than a shard is cut at ends of pieces.
         first = 0
         while first < len(text):
             ends = np.flatnonzero(text[first + SHARD_TOKENS :] == 0)
             last = first + SHARD_TOKENS + int(ends[0]) + 1 if len(ends) else len(text)
-            yield self._batch(name, [-1], [None], [None], [squeeze(text[first:last])])
+            rows.append((name, self.lang, -1, squeeze(text[first:last]), None))
             first = last
-        words = list(self.numbers)[1:]
-        for at in range(0, len(words), 1 << 15):
-            some = words[at : at + (1 << 15)]
-            yield self._batch(name, range(at + 1, at + 1 + len(some)), some, counts[at + 1 : at + 1 + len(some)], [None] * len(some))
-
-    def _batch(self, name: int, number, word, n, body) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([name] * len(word), pa.int64()), pa.array([self.lang] * len(word)), pa.array(number, pa.int32()),
-             pa.array(word, pa.binary()).cast(pa.string()), pa.array(n, pa.int64()), pa.array(body, pa.binary())],
-            ["shard", "lang", "number", "word", "n", "body"])
+        order, present = _by_bucket(of)
+        for bucket, at, end in present:
+            some = order[at:end]
+            packed = zstandard.ZstdCompressor(level=3).compress(_END.join([words[i] for i in some.tolist()]))
+            rows.append((name, self.lang, bucket, packed, _pack(counts[some])))
+        return _table(rows, _SHARD).combine_chunks().to_batches()[0]
 
 
 def _single_ends(text: np.ndarray) -> np.ndarray:
@@ -96,17 +155,17 @@ def _single_ends(text: np.ndarray) -> np.ndarray:
     return text[keep]
 
 
-def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterable[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     name = TaskContext.get().partitionId() << 32
     open_: dict[str, _Shard] = {}
 
-    def close(shard: _Shard) -> Iterator[pa.RecordBatch]:
+    def close(shard: _Shard) -> pa.RecordBatch:
         nonlocal name
         del open_[shard.lang]
         name += 1
-        yield from shard.rows(name)
+        return shard.rows(name, buckets)
 
-    for batch in batches:
+    for batch in slices(batches):
         data, offsets = utf8(batch.column(1))
         for i, j in row_ranges(offsets):
             by_lang: dict[str, list[bytes]] = {}
@@ -117,11 +176,11 @@ def _shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 shard = open_.setdefault(lang, _Shard(lang))
                 shard.add(texts)
                 if len(shard.numbers) > SHARD_WORDS:
-                    yield from close(shard)
+                    yield close(shard)
             while sum(s.tokens for s in open_.values()) > SHARD_TOKENS:
-                yield from close(max(open_.values(), key=lambda s: s.tokens))
+                yield close(max(open_.values(), key=lambda s: s.tokens))
     for shard in list(open_.values()):
-        yield from close(shard)
+        yield close(shard)
 
 
 class Index:
@@ -204,44 +263,120 @@ def _ended(text: np.ndarray) -> np.ndarray:
     return text if len(text) and text[-1] == 0 else np.append(text, 0)
 
 
-def _pairs(known: pa.Table, bodies: pa.Table) -> pa.Table:
-    """(number, id) and the texts of one shard -> its pairs with counts, and its text over the known words."""
-    schema = pa.schema([("shard", pa.int64()), ("x", pa.int64()), ("y", pa.int64()), ("n", pa.int64()),
-                        ("ids", pa.list_(pa.int64())), ("body", pa.binary())])
-    done = []
-    shards = bodies.column("of").to_numpy()
-    number, ids = known.column("number").to_numpy(), known.column("id").to_numpy()
-    order = np.argsort(ids)
-    ids = ids[order]
-    for row in range(bodies.num_rows if len(ids) else 0):
-        text = unsqueeze(bodies.column("body")[row].as_py())
-        dense = np.zeros(max(int(number.max()), int(text.max(initial=0))) + 1, np.int64)
-        dense[number[order]] = np.arange(1, len(ids) + 1)
-        text = _ended(_single_ends(dense[text]))
-        index = Index(text, len(ids) + 1, 2, both=False)
-        low, count, _ = index.extend_left(*index.words())
-        x, y = (ids[w - 1] for w in index.phrase(low, 2))
-        none = pa.nulls(len(x))
-        done.append(pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(x), shards[row])), pa.array(x), pa.array(y), pa.array(count), none.cast(schema.field("ids").type),
-             none.cast(pa.binary())], schema=schema))
-        done.append(pa.RecordBatch.from_arrays(
-            [pa.array([v], f.type) for v, f in zip([int(shards[row]), None, None, None, ids, squeeze(text)], schema)], schema=schema))
-    return pa.Table.from_batches(done, schema)
-
-
-def _phrases(pairs: pa.Table, bodies: pa.Table) -> pa.Table:
-    """The frequent pairs and the texts of one shard -> phrases of two to five words."""
-    names = [*WORDS, "n", "l", "r"]
-    schema = pa.schema([(n, pa.int64()) for n in names])
-    done = []
-    for row in range(bodies.num_rows if pairs.num_rows else 0):
-        ids = bodies.column("ids")[row].values.to_numpy()
+def _merge_words(rows: pa.Table, threshold: int) -> pa.Table:
+    """The words of one bucket from all shards -> ids for the shards, frequent words, words per language."""
+    totals: dict[str, dict[bytes, int]] = {}
+    seen = []
+    for lang, body, extra in zip(*(rows.column(c).to_pylist() for c in ("lang", "body", "extra"))):
+        words = zstandard.ZstdDecompressor().decompress(body).split(_END)
+        count = totals.setdefault(lang, {})
+        for word, n in zip(words, _unpack(extra, 1)[0].tolist()):
+            count[word] = count.get(word, 0) + n
+        seen.append((lang, words))
+    bucket = rows.column("bucket")[0].as_py() if rows.num_rows else 0
+    places: dict[str, dict[bytes, int]] = {}
+    done, number = [], 0
+    for lang in sorted(totals):
+        done.append((None, None, None, None, lang, None, sum(totals[lang].values())))
+        place = places[lang] = {}
+        # Common words first: small numbers pack well.
+        for word in sorted((w for w, n in totals[lang].items() if n >= threshold), key=lambda w: (-totals[lang][w], w)):
+            number += 1
+            place[word] = number
+            done.append((None, None, None, (bucket << 32) + number, lang, word.decode(), totals[lang][word]))
+    for shard, (lang, words) in zip(rows.column("shard").to_pylist(), seen):
+        place = places[lang]
+        done.append((shard, bucket, squeeze(np.fromiter((place.get(w, 0) for w in words), np.int64, len(words))), None, None, None, None))
+    return _table(done, _WORD)
+
+
+def _known_texts(known: pa.Table, texts: pa.Table) -> pa.Table:
+    """The ids of its words and the texts of one shard -> its texts over the known words, and their ids."""
+    known = known.sort_by("bucket")
+    ids = [np.where(k > 0, (b << 32) + k, 0) for b, k in (
+        (b, unsqueeze(k)) for b, k in zip(known.column("bucket").to_pylist(), known.column("body").to_pylist()))]
+    kinds = texts.column("bucket").to_numpy()
+    bodies = texts.column("body")
+    ids = np.concatenate([*ids, np.zeros(0, np.int64)])
+    number = np.zeros(len(ids) + 1, np.int64)
+    for row in np.flatnonzero(kinds == -2).tolist():
+        # Inside a bucket, words stand in the order of their numbers.
+        number[1 + np.argsort(unsqueeze(bodies[row].as_py()), kind="stable")] = ids
+    ids = np.unique(ids[ids > 0])
+    dense = np.where(number > 0, np.searchsorted(ids, number) + 1, 0)
+    rows = []
+    for row in np.flatnonzero(kinds == -1).tolist():
+        text = _ended(_single_ends(dense[unsqueeze(bodies[row].as_py())]))
+        rows.append((texts.column("of")[0].as_py(), None, -1, squeeze(text), _pack(ids)))
+    return _table(rows, _SHARD)
+
+
+def _pairs(texts: pa.Table, buckets: int) -> pa.Table:
+    """The texts of one shard -> its pairs with counts, by bucket."""
+    found = []
+    for body, known in zip(texts.column("body").to_pylist(), texts.column("extra").to_pylist()):
+        text, ids = unsqueeze(body), _unpack(known, 1)[0]
+        if len(text) > 1:
+            index = Index(text, len(ids) + 1, 2, both=False)
+            low, count, _ = index.extend_left(*index.words())
+            found.append(np.stack([*(ids[w - 1] for w in index.phrase(low, 2)), count]))
+    name = texts.column("shard")[0].as_py()
+    return _table([(name, None, bucket, _pack_sorted(part), None) for bucket, part in _by_hash(found, 2, buckets)], _SHARD)
+
+
+def _by_hash(found: list[np.ndarray], width: int, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rows of all texts of a shard by the bucket of their first ``width`` ids, sorted by all ids (all columns).
+
+    A shard has more than one text only if it was cut; what both hold is sent twice and summed there.
+    """
+    if not found:
+        return
+    rows = np.concatenate(found, axis=1)
+    rows = rows[:, np.lexsort(rows[::-1])]
+    order, present = _by_bucket((_hash(*rows[:width]) % np.uint64(buckets)).astype(np.int64))
+    for bucket, at, end in present:
+        yield bucket, rows[:, order[at:end]]
+
+
+def _pack_sorted(rows: np.ndarray) -> bytes:
+    """Rows sorted by their first column, which is kept as differences."""
+    return _pack(np.diff(rows[0], prepend=0), *rows[1:])
+
+
+def _unpack_sorted(body: bytes, columns: int) -> np.ndarray:
+    rows = _unpack(body, columns)
+    return np.concatenate([np.cumsum(rows[:1], axis=1), rows[1:]])
+
+
+def _merge_pairs(rows: pa.Table, threshold: int) -> pa.Table:
+    """The pairs of one bucket from all shards -> the frequent ones among each shard's pairs."""
+    parts = [_unpack_sorted(b, 3) for b in rows.column("body").to_pylist()]
+    every = np.concatenate(parts, axis=1)
+    order, new = _same(every[:2])
+    total = np.add.reduceat(every[2][order], np.flatnonzero(new))
+    frequent = np.empty(len(order), bool)
+    frequent[order] = (total >= threshold)[np.cumsum(new) - 1]
+    heads = order[new][total >= threshold]
+    done, at = [(None, None, None, x, y, f) for x, y, f in zip(*every[:2, heads].tolist(), total[total >= threshold].tolist())], 0
+    for shard, bucket, part in zip(rows.column("shard").to_pylist(), rows.column("bucket").to_pylist(), parts):
+        mine = frequent[at : at + part.shape[1]]
+        at += part.shape[1]
+        if mine.any():
+            done.append((shard, bucket, _pack_sorted(part[:2, mine]), None, None, None))
+    return _table(done, _PAIR)
+
+
+def _phrases(frequent: pa.Table, texts: pa.Table, buckets: int) -> pa.Table:
+    """The frequent pairs and the texts of one shard -> its phrases of three to five words, by bucket."""
+    pairs = [_unpack_sorted(b, 2) for b in frequent.column("body").to_pylist()]
+    pairs = np.concatenate(pairs, axis=1) if pairs else np.zeros((2, 0), np.int64)
+    rows, found = [], []
+    for body, known in zip(texts.column("body").to_pylist(), texts.column("extra").to_pylist()) if pairs.shape[1] else ():
+        ids = _unpack(known, 1)[0]
         letters = len(ids) + 1
-        x, y = (np.searchsorted(ids, pairs.column(c).to_numpy()) + 1 for c in ("x", "y"))
-        # A pair may come from another part of a shard that was cut.
+        x, y = np.searchsorted(ids, pairs) + 1
         wanted = np.unique(x * letters + y)
-        text = unsqueeze(bodies.column("body")[row].as_py())
+        text = unsqueeze(body)
         key = text[:-1] * letters + text[1:]
         joined = np.zeros(len(text), bool)
         if len(key):
@@ -250,17 +385,47 @@ def _phrases(pairs: pa.Table, bodies: pa.Table) -> pa.Table:
         kept[1:] |= joined[:-1]
         text = _ended(_stretches(text, kept, joined))
         index = Index(text, letters, LONGEST)
-        found = index.extend_left(*index.words())
-        for length in range(2, LONGEST + 1):
-            if length > 2:
-                found = index.extend_left(*found)
-            low, count, back = found
-            outer = np.concatenate(([-1], ids))
-            columns = [ids[w - 1] for w in index.phrase(low, length)]
-            columns += [np.full(len(low), -1)] * (LONGEST - length)
-            done.append(pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in [*columns, count, *(outer[e] for e in index.extensions(*found))]], schema=schema))
-    return pa.Table.from_batches(done, schema)
+        intervals = index.extend_left(*index.words())
+        for length in range(3, LONGEST + 1):
+            intervals = index.extend_left(*intervals)
+            low, count, _ = intervals
+            columns = [ids[w - 1] for w in index.phrase(low, length)] + [np.full(len(low), -1)] * (LONGEST - length)
+            left, right = index.extensions(*intervals)
+            found.append(np.stack([*columns, count, (left > 0) + 2 * (right > 0)]))
+    name = texts.column("of")[0].as_py()
+    return _table([(name, None, bucket, *_pack_tree(part)) for bucket, part in _by_hash(found, 3, buckets)], _SHARD)
+
+
+def _pack_tree(rows: np.ndarray) -> tuple[bytes, bytes]:
+    """Phrases of three and more words as a tree: behind a phrase come those that go on from it, with their last word alone."""
+    order = (rows[:LONGEST] >= 0).sum(axis=0)
+    return (_pack(order, rows[order - 1, np.arange(len(order))], rows[LONGEST], rows[LONGEST + 1]),
+            _pack_sorted(rows[:2, order == 3]))
+
+
+def _unpack_tree(body: bytes, heads: bytes) -> np.ndarray:
+    """Words, count and sides of every phrase."""
+    order, last, n, sides = _unpack(body, 4)
+    place = np.arange(len(order))
+    words = np.full((LONGEST, len(order)), -1, np.int64)
+    words[:2, order == 3] = _unpack_sorted(heads, 2)
+    words[order - 1, place] = last
+    for length in range(4, LONGEST + 1):
+        mine = np.flatnonzero(order == length)
+        parent = np.maximum.accumulate(np.where(order == length - 1, place, 0))[mine]
+        words[: length - 1, mine] = words[: length - 1, parent]
+    return np.concatenate([words, n[None], sides[None]])
+
+
+def _merge_phrases(rows: pa.Table, threshold: int) -> pa.Table:
+    """The phrases of one bucket from all shards -> the frequent ones, and whether all shards saw a single extension on one side."""
+    every = np.concatenate([_unpack_tree(b, h) for b, h in zip(rows.column("body").to_pylist(), rows.column("extra").to_pylist())], axis=1)
+    order, new = _same(every[:LONGEST])
+    every, heads = every[:, order], np.flatnonzero(new)
+    f = np.add.reduceat(every[LONGEST], heads)
+    single = np.bitwise_and.reduceat(every[LONGEST + 1], heads) > 0
+    kept = f >= threshold
+    return pa.Table.from_arrays([*(pa.array(w[heads][kept]) for w in every[:LONGEST]), pa.array(f[kept]), pa.array(single[kept])], schema=_PHRASE)
 
 
 def _stretches(text: np.ndarray, kept: np.ndarray, joined: np.ndarray) -> np.ndarray:
@@ -276,24 +441,36 @@ def phrase_counts(docs: DataFrame, threshold: int, text: str = "text", lang: str
     """(words, phrases, totals): frequent words (id, lang, word, f); phrases of two to five ids with their
     count ``f`` and ``inside`` (they lie in a longer phrase of the same count); all words per language, ``n``."""
     given = docs.select(F.coalesce(quoted(lang).cast("string"), F.lit("und")).alias("lang"), quoted(text).alias("text"))
-    shards = cut_lineage(given.mapInArrow(_shards, SHARD_FIELDS))
-    words = shards.where("number > 0").select("shard", "lang", "number", "word", "n")
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
-    counted = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).where(F.col("f") >= threshold)
-    known = cut_lineage(counted.select(F.monotonically_increasing_id().alias("id"), "lang", "word", "f"))
-    back = words.join(known, ["lang", "word"]).select("shard", "number", "id")
-    bodies = shards.where("number < 0").select(F.col("shard").alias("of"), "body")
-    pairs = cut_lineage(back.groupBy("shard").cogroup(bodies.groupBy("of")).applyInArrow(_pairs, PAIR_FIELDS))
-
-    in_shards = pairs.where("x IS NOT NULL").select("shard", "x", "y", "n")
-    frequent = in_shards.groupBy("x", "y").agg(F.sum("n").alias("f")).where(F.col("f") >= threshold).select("x", "y")
-    back = in_shards.join(cut_lineage(frequent), ["x", "y"]).select("shard", "x", "y")
-    bodies = pairs.where("x IS NULL").select(F.col("shard").alias("of"), "ids", "body")
-    phrases = back.groupBy("shard").cogroup(bodies.groupBy("of")).applyInArrow(_phrases, PHRASE_FIELDS)
-    summed = phrases.groupBy(*WORDS).agg(
-        F.sum("n").alias("f"), F.min("l").alias("l"), F.max("l").alias("ll"), F.min("r").alias("r"), F.max("r").alias("rr"))
-    inside = F.expr(f"{WORDS[-1]} < 0 AND (l = ll AND l >= 0 OR r = rr AND r >= 0)")
-    return known, cut_lineage(summed.where(F.col("f") >= threshold).select(*WORDS, "f", inside.alias("inside"))), totals
+    buckets = BUCKETS * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries, kept = F.col("bucket") >= 0, [F.col("shard").alias("of"), "lang", "bucket", "body", "extra"]
+
+    shards = bucketed(given.mapInArrow(lambda batches: _shards(batches, buckets), SHARD_FIELDS), "shard")
+    words = cut_lineage(shards.where(entries).groupBy("bucket").applyInArrow(lambda rows: _merge_words(rows, threshold), WORD_FIELDS))
+    back = words.where("shard IS NOT NULL").select("shard", "bucket", "body")
+    texts = bucketed(back.groupBy("shard").cogroup(shards.where(~entries).select(*kept).groupBy("of")).applyInArrow(
+        _known_texts, SHARD_FIELDS), "shard")
+    pairs = texts.groupBy("shard").applyInArrow(lambda some: _pairs(some, buckets), SHARD_FIELDS)
+    merged = cut_lineage(pairs.groupBy("bucket").applyInArrow(lambda rows: _merge_pairs(rows, threshold), PAIR_FIELDS))
+    frequent = merged.where("shard IS NOT NULL").select("shard", "bucket", "body")
+    phrases = frequent.groupBy("shard").cogroup(texts.select(*kept).groupBy("of")).applyInArrow(
+        lambda some, of: _phrases(some, of, buckets), SHARD_FIELDS)
+    longer = phrases.groupBy("bucket").applyInArrow(lambda rows: _merge_phrases(rows, threshold), PHRASE_FIELDS)
+    two = merged.where("shard IS NULL").select(
+        F.col("x").alias("w1"), F.col("y").alias("w2"), *[F.lit(-1).cast("bigint").alias(w) for w in WORDS[2:]], "f", F.lit(True).alias("single"))
+    summed = cut_lineage(longer.unionByName(two))
+    totals = words.where("shard IS NULL AND id IS NULL").groupBy("lang").agg(F.sum("f").alias("n"))
+    return words.where("id IS NOT NULL").select("id", "lang", "word", "f"), marked_inside(summed), totals
+
+
+def marked_inside(phrases: DataFrame) -> DataFrame:
+    """``inside`` for ``single``: the phrase has an extension by one word of the same count."""
+    w = F.filter(F.array(*WORDS), lambda i: i >= 0)
+    parts = phrases.select("f", w.alias("w")).where(F.size("w") > 2).select("f", F.explode(F.array(
+        F.expr("slice(w, 1, size(w) - 1)"), F.expr("slice(w, 2, size(w) - 1)"))).alias("part"))
+    most = parts.groupBy(*[F.coalesce(F.get("part", F.lit(i)), F.lit(-1)).alias(f"_{n}") for i, n in enumerate(WORDS)]).agg(F.max("f").alias("_f"))
+    same = [F.col(n) == F.col(f"_{n}") for n in WORDS]
+    both = phrases.join(most, reduce(and_, [*same, F.col("single"), F.col("f") == F.col("_f")]), "left")
+    return both.select(*WORDS, "f", F.col("_f").isNotNull().alias("inside"))
 
 
 def _parts() -> Column:

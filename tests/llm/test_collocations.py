@@ -7,6 +7,8 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from glosa.llm import collocations
@@ -70,12 +72,52 @@ def test_shards_are_cut_at_pieces(monkeypatch):
     monkeypatch.setattr(collocations, "SHARD_TOKENS", 10)
     shard = collocations._Shard("x")
     shard.add([b"a b c, d e f g h i j k l m, n o p q", b"r s t u v w x"])
-    batches = list(shard.rows(1))
-    bodies = [collocations.unsqueeze(b) for batch in batches for b in batch.column(5).to_pylist() if b is not None]
+    rows = shard.rows(1, 3).to_pylist()
+    bodies = [collocations.unsqueeze(r["body"]) for r in rows if r["bucket"] == -1]
     assert len(bodies) > 1 and all(b[-1] == 0 for b in bodies)
     assert np.array_equal(np.concatenate(bodies), np.concatenate(shard.parts))
 
 
+def test_cut_shards_count_the_same(monkeypatch):
+    monkeypatch.setattr(collocations, "SHARD_TOKENS", 60)
+    rows = [("x", t) for _, t in some_rows(6, 60)]
+    # The limit would not reach the workers, so the steps are run here.
+    shard = collocations._Shard("x")
+    shard.add([t.encode() for _, t in rows])
+    table = pa.Table.from_batches([shard.rows(1, 3)])
+    of = lambda t, low: t.filter(pa.compute.less(t.column("bucket"), 0) if low else pa.compute.greater_equal(t.column("bucket"), 0))
+    buckets = lambda t: [t.filter(pa.compute.equal(t.column("bucket"), b)) for b in sorted(set(t.column("bucket").to_pylist()))]
+    words = pa.concat_tables([collocations._merge_words(t, 4) for t in buckets(of(table, False))])
+    known = words.filter(pa.compute.is_valid(words.column("shard"))).select(["shard", "bucket", "body"])
+    texts = of(table, True).rename_columns(["of", "lang", "bucket", "body", "extra"])
+    dense = collocations._known_texts(known, texts)
+    merged = pa.concat_tables([collocations._merge_pairs(t, 4) for t in buckets(collocations._pairs(dense, 3))])
+    two = [r for r in merged.to_pylist() if r["shard"] is None]
+    flags = merged.filter(pa.compute.is_valid(merged.column("shard")))
+    phrases = collocations._phrases(flags, dense.rename_columns(["of", "lang", "bucket", "body", "extra"]), 3)
+    merged = pa.concat_tables([collocations._merge_phrases(t, 4) for t in buckets(phrases)])
+    ids = {r["id"]: r["word"] for r in words.to_pylist() if r["id"] is not None}
+    got = {" ".join(ids[r[w]] for w in collocations.WORDS if r[w] >= 0): r["f"] for r in merged.to_pylist()}
+    got |= {f"{ids[r['x']]} {ids[r['y']]}": r["f"] for r in two}
+    expected = {r[2]: r[3] for r in by_counting(rows, 4, 10**6)}
+    assert expected.items() <= got.items() and len(got) >= len(expected) > 20
+
+
+def test_trees_are_packed_and_unpacked():
+    rng = np.random.default_rng(2)
+    text = rng.integers(1, 4, 300)
+    grams = sorted({tuple(text[i : i + m]) + (-1,) * (5 - m) for m in (3, 4, 5) for i in range(len(text) - m + 1)})
+    rows = np.array([[*g, 7, 3] for g in grams]).T
+    assert np.array_equal(collocations._unpack_tree(*collocations._pack_tree(rows)), rows)
+
+
+def test_rows_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(collocations, "_hash", lambda *c: np.zeros(len(c[0]), np.uint64))
+    rows = np.array([[1, 2, 1, 2, 1], [5, 5, 6, 5, 5]])
+    order, new = collocations._same(rows)
+    assert new.sum() == 3 and len(set(map(tuple, rows[:, order[new]].T.tolist()))) == 3
+
+
 def test_index_counts_and_extensions():
     rng = np.random.default_rng(4)
     text = np.append(rng.integers(0, 4, 400), 0)
