@@ -14,7 +14,7 @@ from glosa.plans import views as V
 from glosa.plans.corpus_queries import META
 from glosa.plans.registry import query
 from glosa.session import scratch_dir
-from glosa.sources import markup, readers, writers
+from glosa.sources import arrays, markup, readers, writers
 from glosa.sources.store import ReviewStore, upsert_stats
 from glosa.streaming import ingest
 
@@ -84,6 +84,37 @@ def union_typed_reviews(spark, sf):
         F.col("r.timestamp").alias("ts"), F.col("seq").cast("bigint").alias("seq"))
 
 
+TRICKY = ' {"not": "a record"}, \\ "} {" end'
+
+
+@query(P.with_reviews(f"""
+SELECT game_id, username, rating, comment || {P.lit(TRICKY)} || CASE WHEN review_id % 7 = 0 THEN '}}' ELSE '' END AS comment, ts
+FROM rev WHERE game_id % 3 <> 1"""))
+def array_files(spark, sf):
+    """Reviews as array files with braces and quotes in their texts, read at record borders."""
+    path = scratch_dir(spark, "arrays")
+    r = V.reviews(spark, sf).filter("game_id % 3 <> 1")
+    comment = F.concat("comment", F.lit(TRICKY), F.when(F.col("review_id") % 7 == 0, "}").otherwise(""))
+    rows = r.select("game_id", "username", F.coalesce(F.col("rating").cast("string"), F.lit("N/A")).alias("rating"), comment.alias("comment"),
+                    F.col("ts").alias("timestamp"), "review_id")
+    arrays.write_arrays(rows, path, "game_id", block_of(F.col("review_id"), 64))
+    return readers.read_reviews(spark, path).select("game_id", "username", number_or_null(F.col("rating")).alias("rating"), "comment", "ts")
+
+
+REVIEW_ROW = StructType([
+    StructField("game_id", LongType()), StructField("username", StringType()), StructField("rating", DoubleType()),
+    StructField("comment", StringType()), StructField("ts", LongType()),
+])
+
+
+@query(P.with_reviews("SELECT game_id, username, rating, comment, ts FROM rev WHERE game_id IN (2, 5)"))
+def item_files(spark, sf):
+    """Rows of two items from files that hold all of them; only their folders are read."""
+    path = scratch_dir(spark, "items")
+    writers.write_per_game(V.reviews(spark, sf).select("game_id", "username", "rating", "comment", "ts"), path)
+    return readers.read_items(spark, path, REVIEW_ROW, [2, 5])
+
+
 @query(P.with_reviews("""
 SELECT r.game_id, p_name AS name, total_all, round(avgweight, 6) AS avgweight, n_reviews FROM (
   SELECT game_id, CAST(count(*) AS VARCHAR) AS total_all, avg(rating) AS avgweight, count(*) AS n_reviews FROM rev GROUP BY game_id) r
@@ -107,8 +138,7 @@ def json_csv_sources(spark, sf):
     ).write.option("header", True).csv(csv_path)
     metadata = readers.read_json_lines(spark, meta_path, Sc.RAW_METADATA).filter("age = 'N/A'")
     stats = readers.read_csv(spark, csv_path, Sc.STATS_ROW)
-    counted = spark.read.schema("username string, rating double, comment string, ts bigint, game_id bigint").json(
-        review_path).groupBy("game_id").agg(F.count(F.lit(1)).alias("n_reviews"))
+    counted = readers.read_items(spark, review_path, REVIEW_ROW).groupBy("game_id").agg(F.count(F.lit(1)).alias("n_reviews"))
     missing = readers.read_json(spark, scratch_dir(spark, "absent"), Sc.RAW_METADATA)  # empty frame
     return (
         stats.join(metadata.unionByName(missing).select(F.col("id").alias("game_id"), "name"), "game_id")

@@ -14,6 +14,8 @@ from pyspark.sql.types import ArrayType, StructType
 
 from glosa import schemas as Sc
 from glosa.functions.text import language_code, number_or_null
+from glosa.sources.arrays import array_records
+from glosa.sources.writers import ITEM_FOLDERS, item_folder_number
 
 FILE_ID = r"_(\d+)_[a-z]+\.json$"
 
@@ -64,15 +66,25 @@ def reviews_of(text: Column) -> Column:
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """(game_id, seq, username, rating, comment, ts) of every file below ``path``."""
-    files = _or_empty(
-        spark, StructType().add("game_id", "long").add("value", "string"),
-        lambda: spark.read.text(path, wholetext=True).select(file_id().alias("game_id"), "value"),
-    )
-    return files.select("game_id", F.posexplode(reviews_of(F.col("value"))).alias("seq", "r")).select(
-        "game_id", F.col("seq").cast("bigint").alias("seq"), "r.username", "r.rating", "r.comment",
-        F.col("r.timestamp").alias("ts"),
-    )
+    """(game_id, seq, username, rating, comment, ts) of every review file below ``path``.
+
+    Files hold a bare list or ``{"comments": [...]}`` and may be of any size; the item is in the name of the file, or of
+    its folder.  ``seq`` counts the records of a file.
+    """
+    schema = StructType().add("file", "string").add("seq", "long").add("record", Sc.RAW_REVIEW)
+    records = _or_empty(spark, schema, lambda: array_records(spark, path, Sc.RAW_REVIEW))
+    item = F.coalesce(*[F.regexp_extract("file", p, 1).try_cast("bigint") for p in (FILE_ID, r"/game_id=(\d+)/[^/]*$")])
+    return records.select(
+        item.alias("game_id"), "seq", "record.username", "record.rating", "record.comment", F.col("record.timestamp").alias("ts"))
+
+
+def read_items(spark: SparkSession, path: str, schema: StructType, game_ids: list[int] | None = None, folders: int = ITEM_FOLDERS) -> DataFrame:
+    """Rows written by :func:`glosa.sources.writers.write_per_game`, of all items or of some, whose folders alone are read."""
+    rows = _or_empty(spark, StructType(list(schema.fields)).add("folder", "integer"),
+                     lambda: spark.read.schema(StructType(list(schema.fields)).add("folder", "integer")).json(path))
+    if game_ids is not None:
+        rows = rows.filter(F.col("folder").isin(*{item_folder_number(i, folders) for i in game_ids}) & F.col("game_id").isin(*game_ids))
+    return rows.drop("folder")
 
 
 def read_corpus(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -338,3 +338,39 @@ def test_languages_are_learned_and_missing_ones_found(spark):
     assert done == {1: "fr", 2: "de", 3: "unknown", 4: "unknown", 5: "en"}
     plan = La.detect_language(model, new)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_array_files_of_many_splits(spark, tmp_path):
+    rng = __import__("random").Random(4)
+    bits = ['"', "\\", "{", "}", "},{", "]", "\n", "é", "plain words", '{"username": "x"}']
+    records = [{"username": f"u{i}", "rating": str(i), "comment": "".join(rng.choices(bits, k=rng.randint(0, 9))), "timestamp": i} for i in range(400)]
+    extra = [{**r, "more": {"a": {"b": r["comment"]}, "c": [1, {"d": "}"}]}} for r in records]
+    (tmp_path / "x_reviews_12_api.json").write_text(json.dumps(records, indent=1, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "x_reviews_13_api.json").write_text(json.dumps({"comments": extra}), encoding="utf-8")
+    (tmp_path / "x_reviews_14_api.json").write_text("[]", encoding="utf-8")
+    (tmp_path / "x_reviews_15_api.json").write_text('{"comments": []}', encoding="utf-8")
+    for size in ("1500", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0" if size == "1500" else "4194304")
+        try:
+            rows = readers.read_reviews(spark, str(tmp_path)).orderBy("game_id", "seq").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        for item in (12, 13):
+            mine = [r for r in rows if r.game_id == item]
+            assert [(r.seq, r.username, r.rating, r.comment, r.ts) for r in mine] == [
+                (i, r["username"], r["rating"], r["comment"], r["timestamp"]) for i, r in enumerate(records)]
+        assert len(rows) == 800
+
+
+def test_items_are_read_from_their_folders(spark, tmp_path):
+    df = spark.range(200).selectExpr("id % 20 AS game_id", "id AS n")
+    writers.write_per_game(df, str(tmp_path / "i"), folders=8)
+    assert len([p for p in (tmp_path / "i").iterdir() if p.name.startswith("folder=")]) <= 8
+    some = readers.read_items(spark, str(tmp_path / "i"), df.schema, [3, 4], folders=8)
+    assert sorted((r.game_id, r.n) for r in some.collect()) == sorted((i % 20, i) for i in range(200) if i % 20 in (3, 4))
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [folder" in plan or "PartitionFilters: [isnotnull(folder" in plan
+    assert readers.read_items(spark, str(tmp_path / "i"), df.schema).count() == 200
+    assert readers.read_items(spark, str(tmp_path / "none"), df.schema).count() == 0
