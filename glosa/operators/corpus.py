@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterator, Mapping
+from functools import cached_property
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glosa.functions import tokens as K
 from glosa.functions.text import number_or_null
 from glosa.operators import frequency as Q
 from glosa.operators.skew import first_n
+from glosa.session import cut_lineage
 
 CLASSIFICATION_FIELDS = ("mechanics", "categories", "families")
 
@@ -89,9 +94,10 @@ class Corpus:
         return docs.filter("label IS NOT NULL").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
 
     def label_distribution_by_game(self) -> DataFrame:
-        """Counts per (game, label) and per label, in one pass over two grouping sets."""
+        """Counts per (game, label) and, with ``is_total`` 1, per label, in one pass over two grouping sets."""
         labelled = self.documents.filter("label IS NOT NULL")
-        return labelled.groupingSets([["game_id", "label"], ["label"]], "game_id", "label").agg(F.count(F.lit(1)).alias("n"))
+        return labelled.groupingSets([["game_id", "label"], ["label"]], "game_id", "label").agg(
+            F.count(F.lit(1)).alias("n"), F.grouping("game_id").cast("int").alias("is_total"))
 
     review_counts_by_category = label_distribution
 
@@ -232,31 +238,92 @@ def default_games(spark: SparkSession, ranks: DataFrame, last: int = 509, top: i
     return spark.range(1, last + 1).select(F.col("id").alias("game_id")).unionByName(best).distinct()
 
 
+NUMBERS = ("num_reviews", "num_reviews_rated", "num_reviews_commented", "num_reviews_rated_and_commented")
+
+
+def report_counts(documents: DataFrame, pair: tuple[str, str] = ("good", "bad")) -> DataFrame:
+    """(kind, item, label, n): users, ratings, labels, tokens per label, n-grams and contexts, counted in one pass.
+
+    All occurrences go into one aggregation, which combines map-side.
+    """
+    none = F.lit(None).cast("string")
+
+    def entry(kind: str, item: Column, label: Column = none) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), item.cast("string").alias("item"), label.alias("label"))
+
+    def each(kind: str, items: Column, label: Column = none) -> Column:
+        return F.transform(items, lambda item: entry(kind, item, label))
+
+    lower = F.transform("tokens", F.lower)
+    parts = F.concat(
+        F.array(entry("user", F.col("username")), entry("rating", F.col("rating")), entry("label", F.col("label"))),
+        each("token", F.col("tokens"), F.col("label")), each("bigram", K.ngrams(lower, 2)), each("trigram", K.ngrams(lower, 3)),
+        each("context", K.word_contexts(F.col("tokens"), list(pair), 2)))
+    return documents.select(F.inline(parts)).groupBy("kind", "item", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+class CorpusReport(Mapping):
+    """The fixed bundle of corpus statistics, by name; a member is planned when it is asked for.
+
+    The counted members share one pass over the documents, made when the first of them is asked for and written to the
+    shared folder.  The sample, the contexts and the dispersion read the documents once each.
+    """
+
+    def __init__(self, corpus: Corpus, word: str = "game", pair: tuple[str, str] = ("good", "bad"),
+                 dispersed: tuple[str, ...] = ("good", "game", "player")) -> None:
+        self.corpus, self.word, self.pair, self.dispersed = corpus, word, pair, dispersed
+        self._members: dict[str, Callable[[], DataFrame]] = {
+            "unique_users": lambda: self._kind("user").agg(F.count(F.lit(1)).alias("n")),
+            "repeat_users": lambda: self._kind("user").filter("n > 1").agg(F.count(F.lit(1)).alias("n")),
+            "repeat_user_names": lambda: self._kind("user").filter("n > 1").select(F.col("item").alias("username")).orderBy("username").limit(10),
+            "rating_distribution": lambda: self._kind("rating").filter("item IS NOT NULL").select(
+                F.col("item").cast("double").alias("rating"), "n").orderBy(F.desc("n"), "rating").limit(10),
+            "sample_text": lambda: corpus.raw().orderBy("game_id", "review_id").limit(5),
+            "contexts": lambda: corpus.contexts(word, 3).orderBy("game_id", "review_id", "pos").limit(5),
+            "common_contexts": lambda: self._top("context", 5, "context"),
+            "most_common": lambda: Q.most_common(self._tokens(), 15),
+            "dispersion": lambda: corpus.lexical_dispersion(list(dispersed)),
+            "hapaxes": lambda: self._tokens().filter("n = 1").select("token").orderBy("token").limit(20),
+            "word_lengths": lambda: self._kind("token").groupBy(F.length("item").cast("bigint").alias("length")).agg(
+                F.sum("n").alias("n")).orderBy("length").limit(10),
+            "bigrams": lambda: self._top("bigram", 10),
+            "trigrams": lambda: self._top("trigram", 5),
+            "collocations": lambda: self._top("bigram", 10),
+            "category_stats": self._categories,
+            "label_distribution": lambda: self._kind("label").filter("item IS NOT NULL").select(F.col("item").alias("label"), "n"),
+            "frequency": lambda: Q.most_common(self._tokens(), 30),
+        }
+        if corpus.games is not None:
+            self._members.update({name: getattr(corpus, name) for name in NUMBERS})
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return cut_lineage(report_counts(self.corpus.documents, self.pair))
+
+    def _kind(self, kind: str) -> DataFrame:
+        return self.counts.filter(F.col("kind") == kind)
+
+    def _top(self, kind: str, n: int, name: str = "ngram") -> DataFrame:
+        return Q.most_common(self._kind(kind).select(F.col("item").alias(name), "n"), n, name)
+
+    def _tokens(self) -> DataFrame:
+        return self._kind("token").groupBy(F.lower("item").alias("token")).agg(F.sum("n").alias("n"))
+
+    def _categories(self) -> DataFrame:
+        sums = self._kind("token").filter("label IS NOT NULL").groupBy("label").agg(
+            F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("types"))
+        return sums.withColumn("diversity", F.when(F.col("tokens") > 0, F.col("types") / F.col("tokens")).otherwise(0.0))
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._members[name]()
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._members)
+
+    def __len__(self) -> int:
+        return len(self._members)
+
+
 def corpus_report(corpus: Corpus, word: str = "game", pair: tuple[str, str] = ("good", "bad"),
-                  dispersed: tuple[str, ...] = ("good", "game", "player")) -> dict[str, DataFrame]:
-    """The fixed bundle of corpus statistics; each member is lazy."""
-    users = corpus.repeat_users().select("username").orderBy("username")
-    bigrams, trigrams = corpus.bigrams(), corpus.trigrams()
-    report = {
-        "unique_users": corpus.num_unique_users(),
-        "repeat_users": corpus.num_repeat_users(),
-        "repeat_user_names": users.limit(10),
-        "rating_distribution": corpus.rating_distribution().orderBy(F.desc("n"), "rating").limit(10),
-        "sample_text": corpus.raw().orderBy("game_id", "review_id").limit(5),
-        "contexts": corpus.contexts(word, 3).orderBy("game_id", "review_id", "pos").limit(5),
-        "common_contexts": corpus.common_contexts(list(pair), 2).orderBy(F.desc("n"), "context").limit(5),
-        "most_common": corpus.most_common(15),
-        "dispersion": corpus.lexical_dispersion(list(dispersed)),
-        "hapaxes": corpus.hapaxes().orderBy("token").limit(20),
-        "word_lengths": corpus.word_length_distribution().orderBy("length").limit(10),
-        "bigrams": Q.most_common(bigrams, 10, "ngram"),
-        "trigrams": Q.most_common(trigrams, 5, "ngram"),
-        "collocations": corpus.collocations(10),
-        "category_stats": corpus.category_stats(),
-        "label_distribution": corpus.label_distribution(),
-        "frequency": corpus.most_common(30),
-    }
-    if corpus.games is not None:
-        for name in ("num_reviews", "num_reviews_rated", "num_reviews_commented", "num_reviews_rated_and_commented"):
-            report[name] = getattr(corpus, name)()
-    return report
+                  dispersed: tuple[str, ...] = ("good", "game", "player")) -> CorpusReport:
+    return CorpusReport(corpus, word, pair, dispersed)

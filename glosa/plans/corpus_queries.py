@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +29,8 @@ def _reviews(spark: SparkSession, sf: str) -> C.Corpus:
 
 # ------------------------------------------------------------ labels, filters
 @query(P.with_reviews("""
-SELECT game_id, label, count(*) AS n FROM lab WHERE label IS NOT NULL GROUP BY game_id, label
-UNION ALL SELECT NULL, label, count(*) FROM lab WHERE label IS NOT NULL GROUP BY label"""))
+SELECT game_id, label, count(*) AS n, 0 AS is_total FROM lab WHERE label IS NOT NULL GROUP BY game_id, label
+UNION ALL SELECT NULL, label, count(*), 1 FROM lab WHERE label IS NOT NULL GROUP BY label"""))
 def label_distribution(spark, sf):
     return _reviews(spark, sf).label_distribution_by_game()
 
@@ -334,6 +336,8 @@ def valid_reviews(spark, sf):
 
 REPORT_SQL = """
 SELECT 'most_common' AS member, token AS item, n FROM (SELECT token, count(*) AS n FROM toks GROUP BY token ORDER BY n DESC, token LIMIT 15)
+UNION ALL SELECT 'frequency', token, n FROM (SELECT token, count(*) AS n FROM toks GROUP BY token ORDER BY n DESC, token LIMIT 30)
+UNION ALL SELECT 'hapaxes', token, 1 FROM (SELECT token FROM toks GROUP BY token HAVING count(*) = 1 ORDER BY token LIMIT 20)
 UNION ALL SELECT 'bigrams', two, n FROM (SELECT two, count(*) AS n FROM grams WHERE two IS NOT NULL GROUP BY two ORDER BY n DESC, two LIMIT 10)
 UNION ALL SELECT 'trigrams', three, n FROM (SELECT three, count(*) AS n FROM grams WHERE three IS NOT NULL GROUP BY three ORDER BY n DESC, three LIMIT 5)
 UNION ALL SELECT 'collocations', two, n FROM (SELECT two, count(*) AS n FROM grams WHERE two IS NOT NULL GROUP BY two ORDER BY n DESC, two LIMIT 10)
@@ -341,23 +345,46 @@ UNION ALL SELECT 'label_distribution', label, count(*) FROM lab WHERE label IS N
 UNION ALL SELECT 'rating_distribution', CAST(rating AS VARCHAR), n FROM (SELECT rating, count(*) AS n FROM rev WHERE rating IS NOT NULL GROUP BY rating ORDER BY n DESC, rating LIMIT 10)
 UNION ALL SELECT 'word_lengths', CAST(l AS VARCHAR), n FROM (SELECT len(token) AS l, count(*) AS n FROM toks GROUP BY 1 ORDER BY l LIMIT 10)
 UNION ALL SELECT 'category_stats', label, count(*) FROM toks WHERE label IS NOT NULL GROUP BY label
+UNION ALL SELECT 'category_types', label, count(DISTINCT token) FROM toks WHERE label IS NOT NULL GROUP BY label
 UNION ALL SELECT 'unique_users', '', count(DISTINCT username) FROM rev
-UNION ALL SELECT 'repeat_users', '', count(*) FROM (SELECT username FROM rev GROUP BY username HAVING count(*) > 1)"""
-
-
-@query(lambda: P.with_docs(REPORT_SQL, GRAM))
+UNION ALL SELECT 'repeat_users', '', count(*) FROM (SELECT username FROM rev GROUP BY username HAVING count(*) > 1)
+UNION ALL SELECT 'repeat_user_names', username, 0 FROM (SELECT username FROM rev GROUP BY username HAVING count(*) > 1 ORDER BY username LIMIT 10)
+UNION ALL SELECT 'sample_text', comment, review_id FROM (SELECT * FROM rev ORDER BY game_id, review_id LIMIT 5)
+UNION ALL SELECT 'contexts', l || '|' || token || '|' || r, pos FROM (
+  SELECT token, pos, array_to_string(tokens[greatest(pos - 3, 0) + 1 : pos], ' ') AS l, array_to_string(tokens[pos + 2 : pos + 4], ' ') AS r
+  FROM toks t JOIN docs d USING (review_id) WHERE token = 're' ORDER BY t.game_id, t.review_id, pos LIMIT 5)
+UNION ALL SELECT 'common_contexts', c, n FROM (
+  SELECT array_to_string(list_concat(list_concat(tokens[greatest(pos - 2, 0) + 1 : pos], ['_']), tokens[pos + 2 : pos + 3]), ' ') AS c, count(*) AS n
+  FROM toks t JOIN docs d USING (review_id) WHERE token IN ('re', 'th') GROUP BY 1 ORDER BY n DESC, c LIMIT 5)
+UNION ALL SELECT 'dispersion', token, pos + start FROM toks JOIN (
+  SELECT review_id, coalesce(sum(len(tokens)) OVER (ORDER BY game_id, review_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM docs)
+  USING (review_id) WHERE token IN ('re', 'th')
+UNION ALL SELECT 'num_reviews', '', CAST(sum(coalesce(TRY_CAST(TRY_CAST(total_all AS DOUBLE) AS BIGINT), 0)) AS BIGINT) FROM meta
+UNION ALL SELECT 'num_reviews_rated', '', CAST(sum(coalesce(TRY_CAST(TRY_CAST(total_rated AS DOUBLE) AS BIGINT), 0)) AS BIGINT) FROM meta
+UNION ALL SELECT 'num_reviews_commented', '', 0
+UNION ALL SELECT 'num_reviews_rated_and_commented', '', 0"""
+
+
+@query(lambda: P.with_docs(REPORT_SQL, GRAM, META))
 def corpus_report(spark, sf):
-    docs = cut_lineage(V.documents(spark, sf).drop("clean_text"))  # tokenised once for all members
-    members = C.corpus_report(C.Corpus(docs), word="re", pair=("re", "th"), dispersed=("re", "th"))
+    """All members of the report; the documents are tokenised once and read four times."""
+    docs = cut_lineage(V.documents(spark, sf).drop("clean_text"))
+    members = C.corpus_report(C.Corpus(docs, _metadata(spark, sf)), word="re", pair=("re", "th"), dispersed=("re", "th"))
+    zero = F.lit(0).cast("bigint")
     shape = {
-        "most_common": ("token", "n"), "bigrams": ("ngram", "n"), "trigrams": ("ngram", "n"),
-        "collocations": ("ngram", "n"), "label_distribution": ("label", "n"),
-        "rating_distribution": ("rating", "n"), "word_lengths": ("length", "n"),
-        "category_stats": ("label", "tokens"), "unique_users": (None, "n"), "repeat_users": (None, "n"),
+        "most_common": ("token", "n"), "frequency": ("token", "n"), "hapaxes": ("token", F.lit(1)), "bigrams": ("ngram", "n"),
+        "trigrams": ("ngram", "n"), "collocations": ("ngram", "n"), "label_distribution": ("label", "n"),
+        "rating_distribution": ("rating", "n"), "word_lengths": ("length", "n"), "category_stats": ("label", "tokens"),
+        "unique_users": (F.lit(""), "n"), "repeat_users": (F.lit(""), "n"), "repeat_user_names": ("username", zero),
+        "sample_text": ("raw_text", "review_id"), "contexts": (F.concat_ws("|", "left", "hit", "right"), "pos"),
+        "common_contexts": ("context", "n"), "dispersion": ("word", "offset"), **{name: (F.lit(""), "total") for name in C.NUMBERS},
     }
-    out: DataFrame | None = None
-    for name, (item, count) in shape.items():
-        value = F.lit("") if item is None else F.col(item).cast("string")
-        one = members[name].select(F.lit(name).alias("member"), value.alias("item"), F.col(count).alias("n"))
-        out = one if out is None else out.unionByName(one)
-    return out
+    assert set(shape) == set(members)
+
+    def rows(name: str, member: DataFrame, item, count) -> DataFrame:
+        column = lambda c: F.col(c) if isinstance(c, str) else c
+        return member.select(F.lit(name).alias("member"), column(item).cast("string").alias("item"), column(count).cast("bigint").alias("n"))
+
+    parts = [rows(name, members[name], *columns) for name, columns in shape.items()]
+    parts.append(rows("category_types", members["category_stats"], "label", "types"))
+    return reduce(DataFrame.unionByName, parts)

@@ -401,3 +401,21 @@ def test_common_feature_names_are_not_joined(spark):
     joined = df.withColumn("features", F.map_concat("features", F.create_map(F.lit("unknown"), F.lit(3.0))))
     got = {r.review_id: dict(zip(r.indices, r["values"])) for r in Vx.feature_vectors(joined, vocab, "review_id").collect()}
     assert got == {i: {number["len"]: float(i), number[f"user=u{i}"]: 1.0} for i in range(600)}
+
+
+def test_report_counts_once_and_lazily(spark, tmp_path):
+    from glosa.operators.corpus import Corpus, corpus_report, report_counts
+
+    rows = [(1, 1, None, 7.0, "positive", "a", ["re", "th", "re"]), (1, 2, "u", None, None, "b", ["th"]), (2, 3, "u", 7.0, "positive", "c", [])]
+    df = spark.createDataFrame(rows, "game_id long, review_id long, username string, rating double, label string, comment string, tokens array<string>")
+    got = {(r.kind, r.item, r.label): r.n for r in report_counts(df, ("re", "th")).collect()}
+    assert got["user", "u", None] == 2 and got["user", None, None] == 1 and got["token", "re", "positive"] == 2
+    assert got["bigram", "re th", None] == 1 and got["rating", "7.0", None] == 2 and got["context", "_ th re", None] == 1
+    report = corpus_report(Corpus(df), "re", ("re", "th"), ("re",))
+    assert "counts" not in vars(report) and len(report) == 17 and "num_reviews" not in report
+    assert report["unique_users"].first().n == 2 and report["repeat_users"].first().n == 1
+    assert "counts" in vars(report)
+    stats = {r.label: (r.tokens, r.types) for r in report["category_stats"].collect()}
+    assert stats == {"positive": (3, 2)}
+    plan = report["trigrams"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "LogicalRDD" not in plan  # the documents are not read again
