@@ -84,7 +84,7 @@ def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(read(spark, sf_dir, "pages"), RULES)
 
 
-def op9_sql(rounds: int = 10, damping: float = 0.85) -> str:
+def op9_sql(steps: int = 300, damping: float = 0.85) -> str:
     fits = []
     for verdict, rule in sorted(RULES, key=lambda r: (-len(r[1]), r[1])):
         host, _, rest = rule.partition("/")
@@ -92,28 +92,24 @@ def op9_sql(rounds: int = 10, damping: float = 0.85) -> str:
     rules = " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in fits)
     verdicts = " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in fits)
     link = urls.LINK.replace("'", "''")
-    steps = ["m0 AS (SELECT * FROM seeds)"]
-    for i in range(rounds):
-        steps.append(
-            f"m{i + 1} AS (SELECT kind, host, sum(mass) AS mass FROM (SELECT e.kind, e.dst AS host, m.mass * {damping} / e.links AS mass "
-            f"FROM m{i} m JOIN edges e ON e.kind = m.kind AND e.src = m.host UNION ALL "
-            f"SELECT kind, host, mass * {1 - damping} FROM seeds) GROUP BY kind, host)")
     return f"""
-WITH r AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE r AS (SELECT page_id, html, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), '{urls.UPPER}', '{urls.LOWER}') AS host,
       regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
 j AS (SELECT *, CASE {rules} END AS rule, CASE {verdicts} END AS ruled FROM h),
 c AS (SELECT ruled AS kind, host, count(*) AS n FROM j WHERE ruled IS NOT NULL AND host <> '' GROUP BY ALL),
-seeds AS (SELECT kind, host, n / sum(n) OVER (PARTITION BY kind) AS mass FROM c),
+seeds AS (SELECT kind, host, n / sum(n) OVER (PARTITION BY kind) * sum(n) OVER () AS mass FROM c),
 l AS (SELECT DISTINCT host AS src, translate(unnest(regexp_extract_all(coalesce(html, ''), '{link}', 1)), '{urls.UPPER}', '{urls.LOWER}') AS dst FROM h),
 k AS (SELECT * FROM l WHERE src <> '' AND src <> dst),
 b AS (SELECT 'allow' AS kind, src, dst FROM k UNION ALL SELECT 'block', dst, src FROM k),
 edges AS (SELECT *, count(*) OVER (PARTITION BY kind, src) AS links FROM b),
-{", ".join(steps)},
+moving AS (SELECT kind, host, mass * {1 - damping} AS mass, 0 AS step FROM seeds
+  UNION ALL SELECT e.kind, e.dst, sum(m.mass * {damping} / e.links), step + 1
+  FROM moving m JOIN edges e ON e.kind = m.kind AND e.src = m.host WHERE step < {steps} GROUP BY e.kind, e.dst, step),
 t AS (SELECT host, sum(CASE WHEN kind = 'allow' THEN mass ELSE 0 END) AS trust,
-      sum(CASE WHEN kind = 'block' THEN mass ELSE 0 END) AS distrust FROM m{rounds} GROUP BY host)
+      sum(CASE WHEN kind = 'block' THEN mass ELSE 0 END) AS distrust FROM moving GROUP BY host)
 SELECT page_id, j.host, path, rule,
-       coalesce(ruled, CASE WHEN round(coalesce(distrust, 0) - coalesce(trust, 0), 9) > 0 THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(ruled, CASE WHEN coalesce(distrust, 0) - coalesce(trust, 0) > coalesce(distrust, 0) * {urls.SAME} THEN 'block' ELSE 'allow' END) AS verdict,
        round(coalesce(trust, 0), 9) AS trust, round(coalesce(distrust, 0), 9) AS distrust
 FROM j LEFT JOIN t ON t.host = j.host
 """
