@@ -168,7 +168,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], text: str = "t
                 )
 
     logp_features = logp.shape[1]
-    given = docs.select(*[quoted(k) for k in keys], quoted(text).alias("__text"))
+    given = docs.select(*[quoted(k) for k in keys], quoted(text).alias("".join(["_", *keys])))
     return given.mapInArrow(score, schema)
 
 

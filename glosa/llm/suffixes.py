@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glosa.llm.buffers import Rolling, column, mix, row_ranges, sliding_min, utf8
-from glosa.llm.tables import quoted, without
+from glosa.llm.tables import fresh, named_rows, quoted, without
 from glosa.session import cut_lineage
 
 PIECE = 1 << 20
@@ -334,19 +334,21 @@ def _as_text(kept: pa.Array) -> pa.Array:
     return pa.array([b.decode("utf-8", "ignore") for b in kept.to_pylist()], pa.string())
 
 
-def _remove(batches: Iterable[pa.RecordBatch], passed: list[str], text: str, depth: int, as_text: bool) -> Iterator[pa.RecordBatch]:
+def _remove(
+    batches: Iterable[pa.RecordBatch], passed: list[str], text: str, depth: int, as_text: bool, added: tuple[str, str, str]
+) -> Iterator[pa.RecordBatch]:
     """Rows with compressed text and ranges -> the passed columns and ``RESULTS``."""
     import zstandard
 
     expand, rolling = zstandard.ZstdDecompressor(), Rolling(11, PIECE + 2 * depth)
     for whole in batches:
-        sizes = np.cumsum([0] + column(whole, "__size").to_pylist())
+        sizes = np.cumsum([0] + column(whole, added[1]).to_pylist())
         for i, j in row_ranges(sizes, 4 * PIECE):
             batch = whole.slice(i, j - i)
-            packed = [p if p is None else expand.decompress(p) for p in column(batch, "__packed").to_pylist()]
+            packed = [p if p is None else expand.decompress(p) for p in column(batch, added[0]).to_pylist()]
             raw = pa.array(packed, pa.large_binary())
             data, offsets = utf8(raw)
-            lists = column(batch, "__ranges")
+            lists = column(batch, added[2])
             cells = lists.flatten()
             row = np.repeat(np.arange(len(batch)), lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
             low, high = (cells.field(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in ("low", "high"))
@@ -372,7 +374,7 @@ def _remove(batches: Iterable[pa.RecordBatch], passed: list[str], text: str, dep
                 [*passed, *RESULTS])
 
 
-def _compressed(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.RecordBatch]:
+def _compressed(batches: Iterable[pa.RecordBatch], text: str, added: tuple[str, str]) -> Iterator[pa.RecordBatch]:
     """The text column as Zstandard frames (null stays null), with its size in bytes."""
     import zstandard
 
@@ -382,7 +384,7 @@ def _compressed(batches: Iterable[pa.RecordBatch], text: str) -> Iterator[pa.Rec
         rest = [n for n in batch.schema.names if n != text]
         yield pa.RecordBatch.from_arrays(
             [*(column(batch, n) for n in rest), pa.array([None if b is None else press.compress(b) for b in raw], pa.binary()),
-             pa.array([len(b or b"") for b in raw], pa.int64())], [*rest, "__packed", "__size"])
+             pa.array([len(b or b"") for b in raw], pa.int64())], [*rest, *added])
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", depth: int = 200, as_text: bool = False) -> DataFrame:
@@ -393,17 +395,18 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", dep
     if not GRAM < depth <= GRAM + 250:
         raise ValueError(f"depth must be in {GRAM + 1}..{GRAM + 250}")
     # 96 bits name a text: rows equal in id and text share their result.
-    named = docs.withColumns({"__u": F.xxhash64(quoted(key), quoted(text)), "__v": F.hash(quoted(text), quoted(key))})
+    u, v, pack, size, cut = fresh(docs, "u", "v", "packed", "size", "ranges")
     passed = without(docs, RESULTS).columns
-    source = named.select(*[quoted(c) for c in passed], "__u", "__v")
-    schema = source.drop(text).schema.add("__packed", "binary").add("__size", "long")
-    packed = source.mapInArrow(lambda batches: _compressed(batches, text), schema)
-    texts = named.select(F.col("__u").alias("u"), F.col("__v").alias("v"), F.coalesce(quoted(text), F.lit("")).alias("text"))
-    slim = packed.select(F.col("__u").alias("u"), F.col("__v").alias("v"), F.col("__packed").alias("packed"))
+    source = named_rows(docs, key, text, u, v).select(*[quoted(c) for c in passed], u, v)
+    schema = source.drop(text).schema.add(pack, "binary").add(size, "long")
+    packed = source.mapInArrow(lambda batches: _compressed(batches, text, (pack, size)), schema)
+    texts = named_rows(docs.select(quoted(key).alias("key"), quoted(text).alias("text")), "key", "text", "u", "v").select(
+        "u", "v", F.coalesce("text", F.lit("")).alias("text"))
+    slim = packed.select(F.col(u).alias("u"), F.col(v).alias("v"), F.col(pack).alias("packed"))
     ranges = repeated_ranges(texts, slim, depth).groupBy("u", "v").agg(
-        F.collect_set(F.struct("low", "high")).alias("__ranges")).withColumnsRenamed({"u": "__u", "v": "__v"})
+        F.collect_set(F.struct("low", "high")).alias(cut)).select(F.col("u").alias(u), F.col("v").alias(v), cut)
     schema = docs.select(*[quoted(c) for c in passed]).schema
     for name, kind in zip(RESULTS, ("long", "long", "long", "string" if as_text else "binary")):
         schema = schema.add(name, kind)
-    return packed.join(ranges, ["__u", "__v"], "left").mapInArrow(
-        lambda batches: _remove(batches, passed, text, depth, as_text), schema)
+    return packed.join(ranges, [u, v], "left").mapInArrow(
+        lambda batches: _remove(batches, passed, text, depth, as_text, (pack, size, cut)), schema)

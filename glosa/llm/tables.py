@@ -28,6 +28,22 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select(*[quoted(c) for c in df.columns if c.lower() not in taken])
 
 
+def fresh(df: DataFrame, *stems: str) -> list[str]:
+    """Column names that ``df`` does not have, for columns an operator adds for a while."""
+    taken, names = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        name = f"_{stem}"
+        while name in taken:
+            name = f"_{name}"
+        names.append(name)
+    return names
+
+
+def named_rows(df: DataFrame, key: str, text: str, u: str, v: str) -> DataFrame:
+    """``df`` with two columns whose 96 bits name a row by its key and text."""
+    return df.select("*", F.xxhash64(quoted(key), quoted(text)).alias(u), F.hash(quoted(text), quoted(key)).alias(v))
+
+
 def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 
