@@ -9,6 +9,12 @@ columns of ``documents``:
    every document keeps its row, ``n_chars`` follows the text;
 4. decontamination: documents that hold a benchmark item go;
 5. packing: pieces of power-of-two length.
+
+Defined results: a row with null or empty text is not scored and goes with the first stage; rows equal in id and
+text are one document, of which the second stage leaves one; a document without an id is judged like any other
+and stays apart from those with one; of equal texts that with the least id stays; an empty table, or empty labels
+or benchmark tables, give the rows that are left (none, or all); the columns of ``documents`` keep their names, and
+other columns of the table are not read.
 """
 
 from __future__ import annotations
