@@ -25,3 +25,8 @@ def query(sql: str | Callable[[], str] | None = None) -> Callable[[Query], Query
 
 def oracle_sql() -> dict[str, str]:
     return {name: sql() if callable(sql) else sql for name, sql in ORACLES.items()}
+
+
+def oracle_sql_of(*names: str) -> dict[str, str]:
+    """SQL of some queries, for SQL that is put together from theirs."""
+    return {name: sql() if callable(sql := ORACLES[name]) else sql for name in names}

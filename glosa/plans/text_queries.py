@@ -14,7 +14,7 @@ from glosa.operators import frequency as Q
 from glosa.operators import merge as M
 from glosa.plans import oracle_parts as P
 from glosa.plans import views as V
-from glosa.plans.registry import query
+from glosa.plans.registry import oracle_sql_of, query
 from glosa.session import scratch_dir
 
 LEX = V.PROSE_LEXICON
@@ -541,8 +541,44 @@ def feature_map_long(spark, sf):
     return d.select("review_id", F.inline(X.word_features(F.col("tokens"), F.col("marks"), LEX)))
 
 
-@query()
+#: Features of every review by the query whose SQL restates them.
+PARTS = {
+    "sentiment_counts": {
+        **{f"sentiment.{n}": n for n in ("pos_count", "neg_count", "total", "pos_ratio")}, "negation.count": "negations",
+        "negation.sentiment_ratio": "negation_ratio", **{f"syntactic.{n}": n for n in ("num_tokens_no_stop", "avg_token_no_stop_length")}},
+    "text_valence": {f"vader.{n}": n for n in ("compound", "pos", "neu", "neg")},
+    "lexical_diversity_features": {f"lexical.{n}": n for n in ("ttr", "hapax_ratio", "entropy")},
+    "sentence_valence": {
+        **{f"sentence.{n}": n for n in ("avg_sentiment", "num_sentences", "sentiment_variance")},
+        **{f"sentiment.{n}": n for n in ("first_sentence", "last_sentence", "max_sentence", "min_sentence")}},
+    "readability": {f"readability.{n}": n for n in ("fk_grade", "ease")},
+    "hedge_counts": {
+        **{f"hedge.{n}": f'"{n}"' for n in ("count", "density", "prop_propositional", "prop_relational", "prop_discourse")},
+        **{f"hedge.count_type.{n}": f"count_type_{n}" for n in ("hedge_words", "propositional", "relational", "discourse_markers")}},
+    "hedge_window_join": {f"hedge.{n}": n for n in ("nearby_sentiment_count", "nearby_sentiment_ratio")},
+    "compositional_polarity": {f"compositional.{n}": n for n in (
+        "adjusted_pos_count", "adjusted_neg_count", "adjusted_net_sentiment", "intensifier_boost", "negation_flips")},
+    "subjectivity": {f"subjectivity.{n}": n for n in (
+        "marker_count", "marker_density", "first_person_opinion_count", "epistemic_count", "appearance_count")},
+    "subjectivity_and_punctuation": {"punct.exclamation_count": "exclamations", "punct.repeated_punct_count": "repeated_punct"},
+    "domain_bigrams": {n: n for n in ("sentiment_unigram_count", "domain_sentiment_bigram_count", "domain_sentiment_trigram_count")},
+}
+
+
+def _batch_sql() -> str:
+    known = oracle_sql_of(*PARTS, "feature_map_long")
+    parts = [f"SELECT review_id, unnest([{', '.join(P.lit(f) for f in fields)}]) AS feature, "
+             f"unnest([{', '.join(f'CAST({c} AS DOUBLE)' for c in fields.values())}]) AS value FROM ({known[name]})" for name, fields in PARTS.items()]
+    parts.append(f"SELECT review_id, 'readability.complex_word_ratio', round(complex_words / CAST(greatest(num_tokens_no_stop, 1) AS DOUBLE), 6) "
+                 f"FROM ({known['readability']}) JOIN ({known['sentiment_counts']}) USING (review_id)")
+    parts.append(f"SELECT review_id, feature, value FROM ({known['feature_map_long']})")
+    every = "\nUNION ALL ".join(parts)
+    return f"SELECT review_id, feature, value + CAST(0 AS DOUBLE) AS value FROM ({every}) SEMI JOIN (SELECT doc_id AS review_id FROM documents WHERE trim(text) <> '') USING (review_id)"
+
+
+@query(_batch_sql)
 def features_batch(spark, sf):
     """Every scalar and sparse feature of every review, blanks skipped."""
     d = V.documents(spark, sf).filter(~T.is_blank(F.col("comment")))
-    return X.feature_rows(X.extract_features(d.select("review_id", "comment", "tokens"), LEX), "review_id")
+    rows = X.feature_rows(X.extract_features(d.select("review_id", "comment", "tokens"), LEX), "review_id")
+    return rows.withColumn("value", F.round("value", 6) + 0.0)  # no negative zeros
