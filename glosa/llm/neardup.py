@@ -4,19 +4,21 @@ A document is the set of its distinct ``width``-word shingles.  Each of ``TREES`
 independent trees sends a document down random paths: at every level one or two (1.25 on
 average, 1/0.8) minwise coordinates are chosen, and documents that agree on them share a
 child node.  A node of at most ``SMALL`` different sets is compared exhaustively; larger
-nodes branch on, down to ``DEPTH`` levels.  Levels up to ``FIRST`` are taken in one step.
+nodes branch on, level by level.  Levels up to ``FIRST`` are taken in one step.
 A pair at the threshold shares a node of a tree with probability 0.64 at three levels
 and 0.58 at four, so 14 trees miss it with about 1e-6.
 
 Sets that are equal are one vertex from the start, so exact copies cost one row.  Links
-are confirmed on full sets.  Comparing goes in two rounds.  First every node's
-members are compared with its least member, which joins nearly all true groups with one
-comparison per member.  Then, in nodes that still hold several components, all pairs of
-different components are compared; pairs inside one component need no comparison.  No
-node, group or list of partners is cut off.
+are confirmed on full sets.  Components are contracted as soon as they are known, and nothing inside a
+component is compared again: first the members of the nodes of two trees are compared with their node's least
+member, which joins nearly all groups of copies with a few comparisons per member.  From then on
+only nodes that still hold several components count.  In small ones all pairs of different components are
+compared; in larger ones every member of another component is compared with the least member, and those still
+open after that go down a level.  At ``DEPTH`` levels all pairs of different components are compared, whatever the
+size of the node: its members agree on so many coordinates that few can be left.  No node, group or list of partners is cut off.
 
-Before texts are fetched, pairs are sieved by set sizes (exact) and by a 64-bit sketch
-whose bound lies 6.5 standard deviations above the threshold.
+Before texts are fetched, pairs are sieved by set sizes (exact), by a sketch of four bits of each of the 64
+coordinates, whose bound lies 5 standard deviations above the threshold, and pairs compared before are left out.
 
 Defined results: null or white-space text is an empty set, linked with nothing; a
 text with fewer than ``width`` words is one shingle, its whole sequence; repeated rows are
@@ -28,7 +30,7 @@ passed on by ``keep_one`` and ignored otherwise.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import cache
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,16 +39,21 @@ from pyspark.sql import functions as F
 
 from glosa.llm.buffers import LIMIT, Rolling, Words, column, mix, row_ranges, utf8
 from glosa.llm.components import components
-from glosa.llm.tables import quoted
+from glosa.llm.tables import bucketed, fresh, named_rows, quoted
 from glosa.session import cut_lineage
 
 COORDINATES = 64
 TREES = 14
-FIRST, DEPTH = 3, 8
-SMALL = 64
+FIRST, DEPTH = 3, 10
+SMALL = 16
+#: Trees whose nodes are compared with their least members before anything else.
+EARLY = 2
+#: Marks of wanted texts, which are broadcast: at most so many numbers.
+MARKS = 1 << 20
 PERCENT = 80
-#: Differing sketch bits: 6.4 expected at the threshold, deviation 2.4.
-SKETCH_BITS = 22
+#: Differing coordinates of a sketch: 12 expected at the threshold, deviation 3.1.
+SKETCH_DIFFER = 28
+SKETCH = [f"s{i}" for i in range(4)]
 
 
 class Sets:
@@ -140,7 +147,7 @@ def _keys(level: int, places: list[int], least: np.ndarray) -> np.ndarray:
     return out
 
 
-NODE_FIELDS = "path int, key bigint, gid binary"
+NODE_FIELDS = "path int, key bigint, g bigint"
 
 
 def _first_nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,12 +158,12 @@ def _first_nodes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = _keys(FIRST - 1, places, _mins(column(some, "mins")))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.tile(places, len(some)), pa.int32()), pa.array(keys.ravel().view(np.int64)),
-                 column(some, "gid").take(pa.array(np.repeat(np.arange(len(some)), len(places))))],
-                ["path", "key", "gid"])
+                 column(some, "g").take(pa.array(np.repeat(np.arange(len(some)), len(places))))],
+                ["path", "key", "g"])
 
 
 def _next_nodes(batches: Iterable[pa.RecordBatch], level: int) -> Iterator[pa.RecordBatch]:
-    """Rows (path at level - 1, gid, mins) -> their children at ``level``."""
+    """Rows (path at level - 1, g, mins) -> their children at ``level``."""
     children: dict[int, list[int]] = {}
     for place, (_, parent, _) in enumerate(paths()[level]):
         children.setdefault(parent, []).append(place)
@@ -169,25 +176,26 @@ def _next_nodes(batches: Iterable[pa.RecordBatch], level: int) -> Iterator[pa.Re
             for k, place in enumerate(children[p]):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(at), place), pa.int32()), pa.array(np.ascontiguousarray(keys[:, k]).view(np.int64)),
-                     column(batch, "gid").take(pa.array(at))], ["path", "key", "gid"])
-
-
-def nodes_of(groups: DataFrame) -> DataFrame:
-    """(key, gid): members of all final nodes with at least two members."""
-    rows = groups.select("gid", "mins").mapInArrow(_first_nodes, NODE_FIELDS)
-    final = None
-    for level in range(FIRST, DEPTH + 1):
-        counts = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"))
-        shared = cut_lineage(rows.join(counts, "key"))
-        last = level == DEPTH
-        small = shared.select("key", "gid") if last else shared.where(F.col("members") <= SMALL).select("key", "gid")
-        final = small if final is None else final.unionByName(small)
-        if last or counts.where(F.col("members") > SMALL).isEmpty():
-            return final
-        large = shared.where(F.col("members") > SMALL).select("path", "gid")
-        rows = large.join(groups.select("gid", "mins"), "gid").select("path", "gid", "mins").mapInArrow(
-            lambda b, level=level: _next_nodes(b, level), NODE_FIELDS)
-    return final
+                     column(batch, "g").take(pa.array(at))], ["path", "key", "g"])
+
+
+def _shared(rows: DataFrame) -> DataFrame:
+    """(path, key, g, members) of the nodes with at least two members."""
+    counts = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"))
+    return cut_lineage(rows.join(counts, "key").select("path", "key", "g", "members"))
+
+
+def _open(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """Members, with their roots, of the nodes that hold several components."""
+    rooted = cut_lineage(nodes.join(roots, "g", "left").select("path", "key", "g", "members", F.coalesce("root", "g").alias("root")))
+    several = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
+    return cut_lineage(rooted.join(cut_lineage(several), "key"))
+
+
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs of the least member of every node with the members of other components."""
+    least = cut_lineage(members.groupBy("key").agg(F.min(F.struct("g", "root")).alias("p")))
+    return members.join(least, "key").where("root <> p.root").select(F.col("p.g").alias("a"), F.col("g").alias("b"))
 
 
 def _confirm(batches: Iterable[pa.RecordBatch], width: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -212,17 +220,19 @@ def _confirm(batches: Iterable[pa.RecordBatch], width: int, percent: int) -> Ite
 
 def _sieve(x: str, y: str) -> str:
     """Necessary size condition and the sketch bound for two vertices."""
-    return (f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n) "
-            f"AND bit_count({x}.sketch ^ {y}.sketch) <= {SKETCH_BITS}")
+    apart = [f"({x}.{s} ^ {y}.{s})" for s in SKETCH]
+    folded = [f"bit_count(({d} | shiftright({d}, 1) | shiftright({d}, 2) | shiftright({d}, 3)) & 1229782938247303441L)" for d in apart]
+    return f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n) AND {' + '.join(folded)} <= {SKETCH_DIFFER}"
 
 
 def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    weights = np.uint64(1) << np.arange(COORDINATES, dtype=np.uint64)
+    """(g, n, mins) -> (g, n) and the low four bits of every coordinate, sixteen to a word."""
+    shifts = np.uint64(4) * np.arange(16, dtype=np.uint64)
     for batch in batches:
-        bits = (_mins(column(batch, "mins")) & np.uint32(1)).astype(np.uint64)
+        bits = (_mins(column(batch, "mins")) & np.uint32(15)).astype(np.uint64).reshape(-1, 4, 16)
+        words = np.bitwise_or.reduce(bits << shifts, axis=2).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [column(batch, "gid"), column(batch, "n"), pa.array((bits * weights).sum(axis=1, dtype=np.uint64).view(np.int64))],
-            ["gid", "n", "sketch"])
+            [column(batch, "g"), column(batch, "n"), *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(4))], ["g", "n", *SKETCH])
 
 
 class NearDuplicates:
@@ -235,48 +245,68 @@ class NearDuplicates:
             F.hash(quoted(text), quoted(key)).alias("v"), quoted(text).alias("text"))
         self.signed = cut_lineage(self.rows.mapInArrow(
             lambda b: _signatures(b, width), "doc_id bigint, u bigint, v int, n bigint, gid binary, mins binary"))
-        self.groups = cut_lineage(self.signed.where("gid IS NOT NULL").groupBy("gid").agg(
-            F.min("doc_id").alias("least"), F.min(F.struct("u", "v")).alias("row"), F.max("n").alias("n"), F.max("mins").alias("mins")))
+        grouped = self.signed.where("gid IS NOT NULL").groupBy("gid").agg(
+            F.min("doc_id").alias("least"), F.min(F.struct("u", "v")).alias("row"), F.max("n").alias("n"), F.max("mins").alias("mins"))
+        # Short numbers for the sets, fixed by writing them.
+        self.groups = cut_lineage(grouped.withColumn("g", F.monotonically_increasing_id()))
 
     def roots(self) -> DataFrame:
-        """(gid, root) of the sets that are linked to a lesser one."""
+        """(g, root) of the sets that are linked to a lesser one."""
         # Three elements against four are below the threshold: such sets are linked to equals only.
-        nodes = cut_lineage(nodes_of(self.groups.where("n > 3")))
-        info = cut_lineage(self.groups.mapInArrow(_sketch, "gid binary, n bigint, sketch bigint"))
-        active = nodes.select("gid").distinct()
-        wanted = cut_lineage(self.groups.join(active, "gid").select("gid", "row.*"))
-        texts = cut_lineage(self.rows.select("u", "v", "text").join(wanted, ["u", "v"]).select("gid", "text").dropDuplicates(["gid"]))
-
+        sets = self.groups.where("n > 3")
+        nodes = _shared(sets.select("g", "mins").mapInArrow(_first_nodes, NODE_FIELDS))
+        # Both are joined level after level: they lie in buckets, so only the pairs move.
+        info = bucketed(sets.select("g", "n", "mins").mapInArrow(
+            _sketch, "g bigint, n bigint, " + ", ".join(f"{s} bigint" for s in SKETCH)), "g")
+        coordinates = bucketed(sets.select("g", "mins"), "g")
+        wanted = cut_lineage(sets.select("g", "row.*").join(nodes.select("g").distinct(), "g"))
+        # Most texts are in no shared node: a mark per hash, of a bounded number, leaves them out before the shuffle.
+        mark = F.pmod("u", F.lit(MARKS)).alias("mark")
+        marks = F.broadcast(cut_lineage(wanted.select(mark).distinct()))
+        some = self.rows.select("u", "v", "text", mark).join(marks, "mark", "left_semi")
+        texts = bucketed(some.join(wanted, ["u", "v"]).select("g", "text").dropDuplicates(["g"]), "g")
         width = self.width
 
+        seen: list[DataFrame] = []
+
         def confirmed(pairs: DataFrame) -> DataFrame:
-            a, b = texts.toDF("a", "text_a"), texts.toDF("b", "text_b")
-            both = pairs.join(a, "a").join(b, "b").select("a", "b", "text_a", "text_b")
-            return cut_lineage(both.mapInArrow(lambda x: _confirm(x, width, PERCENT), "a binary, b binary"))
-
-        pivots = cut_lineage(nodes.groupBy("key").agg(F.min("gid").alias("a")))
-        stars = nodes.join(pivots, "key").where("gid <> a").select("a", F.col("gid").alias("b")).distinct()
-        x, y = info.alias("x"), info.alias("y")
-        stars = stars.join(x, F.col("a") == F.col("x.gid")).join(y, F.col("b") == F.col("y.gid")).where(F.expr(_sieve("x", "y")))
-        first = confirmed(stars.select("a", "b"))
-
-        stars = components(first)
-        roots = stars.toDF("gid", "root")
-        members = cut_lineage(nodes.join(info, "gid").join(roots, "gid", "left").select(
-            "key", "gid", "n", "sketch", F.coalesce("root", "gid").alias("root")))
-        open_nodes = members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        rest = cut_lineage(members.join(cut_lineage(open_nodes.select("key")), "key"))
-        x, y = rest.alias("x"), rest.alias("y")
-        pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.gid") < F.col("y.gid")) & (F.col("x.root") != F.col("y.root"))
-                       & F.expr(_sieve("x", "y"))).select(F.col("x.gid").alias("a"), F.col("y.gid").alias("b")).distinct()
-        second = confirmed(pairs)
-        return roots if second.isEmpty() else components(stars.unionByName(second)).toDF("gid", "root")
+            x, y = info.alias("x"), info.alias("y")
+            new = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            if seen:
+                new = new.join(reduce(DataFrame.unionByName, seen), ["a", "b"], "left_anti")
+            near = cut_lineage(new.join(x, F.col("a") == F.col("x.g")).join(y, F.col("b") == F.col("y.g")).where(F.expr(_sieve("x", "y"))).select("a", "b"))
+            seen.append(near)
+            both = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+            return cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(
+                lambda batches: _confirm(batches, width, PERCENT), "a bigint, b bigint"))
+
+        def crossed(members: DataFrame) -> DataFrame:
+            known = cut_lineage(members.join(info, "g"))
+            x, y = known.alias("x"), known.alias("y")
+            apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.g") < F.col("y.g")) & (F.col("x.root") != F.col("y.root"))
+            return x.join(y, apart & F.expr(_sieve("x", "y"))).select(F.col("x.g").alias("a"), F.col("y.g").alias("b"))
+
+        early = [place for place, (tree, _, _) in enumerate(paths()[FIRST - 1]) if tree < EARLY]
+        links = confirmed(_stars(nodes.where(F.col("path").isin(early)).withColumn("root", F.col("g"))))
+        roots = components(links).toDF("g", "root")
+        for level in range(FIRST, DEPTH + 1):
+            members = _open(nodes, roots)
+            large = F.col("members") > (SMALL if level < DEPTH else 1 << 62)
+            found = confirmed(crossed(members.where(~large)).unionByName(_stars(members.where(large))))
+            if not found.isEmpty():
+                links = links.unionByName(found)
+                roots = components(links).toDF("g", "root")
+            below = _open(members.where(large).drop("root"), roots)
+            if below.isEmpty():
+                break
+            children = below.select("path", "g").distinct().join(coordinates, "g").select("path", "g", "mins")
+            nodes = _shared(children.mapInArrow(lambda batches, level=level: _next_nodes(batches, level), NODE_FIELDS))
+        return roots
 
     def labels(self) -> DataFrame:
         """Per row: doc_id, u, v, n, component_id."""
-        roots = self.roots()
-        rooted = self.groups.select("gid", "least").join(roots, "gid", "left").select("gid", "least", F.coalesce("root", "gid").alias("root"))
-        rooted = cut_lineage(rooted)
+        rooted = self.groups.select("gid", "g", "least").join(self.roots(), "g", "left")
+        rooted = cut_lineage(rooted.select("gid", "least", F.coalesce("root", "g").alias("root")))
         lowest = cut_lineage(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
         named = cut_lineage(rooted.join(lowest, "root").select("gid", "component_id"))
         return self.signed.select("doc_id", "u", "v", "n", "gid").join(named, "gid", "left").select(
@@ -291,7 +321,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", wi
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = 5) -> DataFrame:
     """The rows of ``docs`` that stay: one per component, and one of each set of repeated rows."""
+    row = fresh(docs, "u", "v")
     kept = NearDuplicates(docs, text, key, width).labels().where("doc_id <=> component_id").select(
-        F.col("u").alias("__u"), F.col("v").alias("__v")).distinct()
-    named = docs.withColumns({"__u": F.xxhash64(quoted(key), quoted(text)), "__v": F.hash(quoted(text), quoted(key))})
-    return named.join(cut_lineage(kept), ["__u", "__v"]).dropDuplicates(["__u", "__v"]).drop("__u", "__v")
+        *[F.col(own).alias(name) for own, name in zip("uv", row)]).distinct()
+    return named_rows(docs, key, text, *row).join(cut_lineage(kept), row).dropDuplicates(row).select(*[quoted(c) for c in docs.columns])
