@@ -4,13 +4,14 @@ The model is a trigram model over an alphabet of ``SYMBOLS`` symbols (code point
 ``PLAIN`` stand for themselves, others share the remaining symbols by a hash).  It is trained
 on whole trusted texts and scores every whole document:
 
-* training adds up trigrams inside each task and sums them over the table; discounts and
-  continuation counts are aggregations of that table;
+* documents are cut into blocks of about 1 MB; each block keeps, for every shard, its distinct
+  trigrams with their counts per document, packed, so one row serves hundreds of documents;
+* training takes the counts of the trusted documents out of the blocks (the places of trusted rows in a
+  block are a small table, joined by block, so no text is moved), adds them up inside each task and sums them
+  over the table; discounts and continuation counts are aggregations of that table;
 * the lower orders have at most ``SYMBOLS`` squared probabilities by construction and are
   broadcast; the trigram counts are not bounded in this way and stay sharded by context;
-* documents are cut into blocks of about 1 MB; each block sends every shard its distinct
-  trigrams with their counts per document, packed, so one row serves hundreds of documents.
-  A shard's counts are joined to the blocks by a stream over (shard, salt); salts grow
+* a shard's counts are joined to the blocks by a stream over (shard, salt); salts grow
   with the number of blocks, so no shard gathers the corpus in one task;
 * per-block score vectors of the shards are added up to one value per document.
 
@@ -20,8 +21,7 @@ are not judged on a handful of letters.  A document is rejected above the ``quan
 the trusted scores in its language, plus ``margin``; a language without trusted text uses
 the quantile over all languages.
 
-Trusted rows are labelled rows, at most ``MAX_TRUSTED`` of them (those with the least id
-hashes); their ids are broadcast on that bound, so no text is moved for training.
+Every labelled row that is trusted is learned from and counts for the limits, whatever their number.
 
 Defined results: null or empty text has no score and is rejected; a null language is a
 language of its own; repeated rows share their score and count in the quantiles as often
@@ -45,7 +45,6 @@ from glosa.session import cut_lineage
 
 SYMBOLS, PLAIN = 1024, 768
 SHARDS = 16
-MAX_TRUSTED = 200_000
 SHRINK = 100
 #: Trigrams a training task adds up before it hands them on.
 HELD = 1 << 20
@@ -80,24 +79,49 @@ def _texts(batch: pa.RecordBatch, name: str) -> Iterator[tuple[int, int, list[st
             yield k, end, col.slice(k, end - k).to_pylist()
 
 
+def _places(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Heads of blocks (block, u, v as bytes) -> (block, place, u, v), one row per document."""
+    for batch in batches:
+        for block, a, b in zip(*(column(batch, n).to_pylist() for n in ("block", "a", "b"))):
+            u, v = np.frombuffer(a, np.int64), np.frombuffer(b, np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(u), block)), pa.array(np.arange(len(u), dtype=np.int32)), pa.array(u), pa.array(v)],
+                ["block", "place", "u", "v"])
+
+
+def _unpacked(expand, a: bytes, b: bytes, c: bytes, d: bytes) -> tuple[np.ndarray, ...]:
+    """Distinct trigrams of a packed row, the documents each occurs in, their places and counts."""
+    raw = [np.frombuffer(expand.decompress(x), t) for x, t in ((a, np.uint32), (b, np.uint32), (c, np.uint16), (d, np.uint32))]
+    return np.cumsum(raw[0].astype(np.int64)), *raw[1:]
+
+
 def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    table = _symbols()
-    ids, n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """Packed rows with the places that count -> (id, n), added up inside the task."""
+    import zstandard
 
-    def give() -> pa.RecordBatch:
+    expand = zstandard.ZstdDecompressor()
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def added() -> tuple[np.ndarray, np.ndarray]:
+        ids, place = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+        return ids, np.bincount(place, np.concatenate([n for _, n in held])).astype(np.int64)
+
+    def give(ids: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["id", "n"])
 
     for batch in batches:
-        for _, _, texts in _texts(batch, "text"):
-            new, count = np.unique(_trigrams(table, texts)[0], return_counts=True)
-            both, place = np.unique(np.concatenate((ids, new)), return_inverse=True)
-            n = np.bincount(place, np.concatenate((n, count))).astype(np.int64)
-            ids = both
-            if len(ids) > HELD:
-                yield give()
-                ids, n = ids[:0], n[:0]
-    if len(ids):
-        yield give()
+        for *packed, places in zip(*(column(batch, n).to_pylist() for n in ("a", "b", "c", "d", "places"))):
+            ids, documents, own, count = _unpacked(expand, *packed)
+            counts = np.zeros(1 << 14, bool)
+            counts[places] = True
+            at = np.flatnonzero(counts[own])
+            held.append((np.repeat(ids, documents)[at], count[at].astype(np.int64)))
+            if sum(len(x) for x, _ in held) > HELD:
+                held = [added()]
+                if 2 * len(held[0][0]) > HELD:
+                    yield give(*held.pop())
+    if held:
+        yield give(*added())
 
 
 def _discounts(counts: DataFrame) -> list[float]:
@@ -237,8 +261,7 @@ def _score(batches: Iterable[pa.RecordBatch], lower: np.ndarray) -> Iterator[pa.
                 continue
             if model is None:
                 model, seen = load(), []
-            raw = [np.frombuffer(expand.decompress(x), t) for x, t in ((a, np.uint32), (b, np.uint32), (c, np.uint16), (d, np.uint32))]
-            ids = np.cumsum(raw[0].astype(np.int64))
+            ids, documents, own, count = _unpacked(expand, a, b, c, d)
             at, hit = find(model[0], ids.astype(np.uint32))
             ctx, known = find(model[2], (ids >> 10).astype(np.uint32))
             p = lower[(ids >> 10) & 1023, ids & 1023].astype(np.float64)
@@ -246,11 +269,11 @@ def _score(batches: Iterable[pa.RecordBatch], lower: np.ndarray) -> Iterator[pa.
                 p = np.where(known, model[3][ctx], 1.0) * p
             if len(model[0]):
                 p = p + np.where(hit, model[1][at], 0.0)
-            logp = np.repeat(np.log(p), raw[1])
+            logp = np.repeat(np.log(p), documents)
             (rows,) = np.frombuffer(e, np.int64)
             blocks.append(block)
             shards.append(shard)
-            sums.append(np.bincount(raw[2], logp * raw[3], minlength=rows).tobytes())
+            sums.append(np.bincount(own, logp * count, minlength=rows).tobytes())
         if blocks:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(blocks), pa.array(shards, pa.int32()), pa.array(sums, pa.binary())], ["block", "shard", "sums"])
@@ -277,17 +300,30 @@ def _add(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield give()
 
 
-def log_probabilities(texts: DataFrame, model: KneserNey) -> DataFrame:
-    """(u, v, text) -> (u, v, logp, n): natural log-probability and characters of every text."""
-    blocks = cut_lineage(texts.mapInArrow(
+def packed_blocks(texts: DataFrame) -> DataFrame:
+    """(u, v, text) -> the blocks of ``_blocks``, written once."""
+    return cut_lineage(texts.mapInArrow(
         _blocks, "block bigint, shard int, a binary, b binary, c binary, d binary, e binary"))
+
+
+def trigram_counts(blocks: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(id, n) over all documents of the blocks whose (u, v) is in ``chosen``."""
+    places = blocks.where("shard < 0").select("block", "a", "b").mapInArrow(_places, "block bigint, place int, u bigint, v int")
+    own = cut_lineage(places.join(chosen, ["u", "v"], "left_semi").groupBy("block").agg(F.collect_list("place").alias("places")))
+    rows = blocks.where("shard >= 0").select("block", "a", "b", "c", "d").join(own, "block")
+    return cut_lineage(rows.select("a", "b", "c", "d", "places").mapInArrow(_count, "id bigint, n bigint").groupBy("id").agg(
+        F.sum("n").alias("n")))
+
+
+def log_probabilities(blocks: DataFrame, model: KneserNey) -> DataFrame:
+    """(u, v, logp, n): natural log-probability and characters of every text of the blocks."""
     salts = 1 + blocks.where("shard >= 0").count() // (SHARDS * BLOCKS_A_TASK)
     salt = F.pmod(F.xxhash64("block"), F.lit(salts))
     chunks = model.shards().select(
         "shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("salt"), F.lit(0).alias("kind"),
         F.lit(-1).cast("bigint").alias("block"), "a", "b", "c", "d", F.lit(b"").alias("e"))
     asked = blocks.where("shard >= 0").select("shard", salt.alias("salt"), F.lit(1).alias("kind"), "block", "a", "b", "c", "d", "e")
-    lower = texts.sparkSession.sparkContext.broadcast(model.lower)
+    lower = blocks.sparkSession.sparkContext.broadcast(model.lower)
     sums = chunks.unionByName(asked).repartition("shard", "salt").sortWithinPartitions("shard", "salt", "kind").mapInArrow(
         lambda b: _score(b, lower.value), "block bigint, shard int, sums binary")
     heads = blocks.where("shard < 0").select("block", "shard", "a", "b", "c", F.lit(None).cast("binary").alias("sums"))
@@ -298,20 +334,20 @@ def log_probabilities(texts: DataFrame, model: KneserNey) -> DataFrame:
 
 
 def score_documents(
-    docs: DataFrame, trusted: DataFrame, quantile: float = 0.995, margin: float = 0.05, max_trusted: int = MAX_TRUSTED,
+    docs: DataFrame, trusted: DataFrame, quantile: float = 0.995, margin: float = 0.05,
 ) -> DataFrame:
     """(u, v, doc_id, lang, n, score, limit, kept) of every row; ``trusted`` holds the doc_id of trusted rows."""
     rows = docs.select(
         quoted("doc_id").alias("doc_id"), quoted("lang").alias("lang"), F.xxhash64(quoted("doc_id"), quoted("text")).alias("u"),
         F.hash(quoted("text"), quoted("doc_id")).alias("v"), F.coalesce(quoted("text"), F.lit("")).alias("text"))
-    ids = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_trusted)
-    ids = F.broadcast(cut_lineage(ids))
-    counts = cut_lineage(rows.join(ids, "doc_id", "left_semi").select("text").mapInArrow(
-        _count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")))
-    scores = log_probabilities(rows.select("u", "v", "text"), KneserNey(counts)).groupBy("u", "v").agg(
+    names = cut_lineage(rows.select("doc_id", "lang", "u", "v"))
+    ids = cut_lineage(trusted.select("doc_id").where("doc_id IS NOT NULL").distinct())
+    blocks = packed_blocks(rows.select("u", "v", "text"))
+    counts = trigram_counts(blocks, names.join(ids, "doc_id", "left_semi").select("u", "v"))
+    scores = log_probabilities(blocks, KneserNey(counts)).groupBy("u", "v").agg(
         F.max("logp").alias("logp"), F.max("n").alias("n"))
     marked = ids.withColumn("trusted", F.lit(True))
-    named = cut_lineage(rows.select("doc_id", "lang", "u", "v").join(scores, ["u", "v"]).join(marked, "doc_id", "left"))
+    named = cut_lineage(names.join(scores, ["u", "v"]).join(marked, "doc_id", "left"))
 
     # One level per language, one over all; grouping keeps null languages apart from the total.
     base = named.where("trusted AND n > 0")
