@@ -14,22 +14,43 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glosa.functions import tokens as K
-from glosa.functions.text import is_blank
+from glosa.functions.text import is_blank, let
 
 VOCABULARY = 5000
 THRESHOLD = 0.70
 
 
+def _flat(text: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), "\n", " ")))
+
+
+def _split(flat: Column) -> Column:
+    return F.filter(F.split(flat, ""), lambda c: c != "")
+
+
 def characters(text: Column) -> Column:
     """Characters of the whole text, lower-cased."""
-    flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), "\n", " "))
-    return F.filter(F.split(F.lower(flat), ""), lambda c: c != "")
+    return _split(_flat(text))
 
 
 def character_grams(text: Column) -> Column:
-    """Pairs and triples of neighbouring characters, one entry per occurrence."""
-    chars = characters(text)
-    return F.concat(K.ngrams(chars, 2, ""), K.ngrams(chars, 3, ""))
+    """Pairs and triples of neighbouring characters, one entry per occurrence.
+
+    A pattern that looks ahead finds them without an array of characters; it steps by UTF-16 units,
+    so texts with characters beyond 16 bits take the way over the array.
+    """
+
+    def by_pattern(t: Column, n: int) -> Column:
+        return F.regexp_extract_all(t, F.lit("(?s)(?=(" + "." * n + "))"), F.lit(1))
+
+    def by_characters(t: Column) -> Column:
+        return let(_split(t), lambda c: F.concat(K.ngrams(c, 2, ""), K.ngrams(c, 3, "")))
+
+    def run(t: Column) -> Column:
+        wide = t.rlike(r"[\x{10000}-\x{10FFFF}]")
+        return F.when(wide, by_characters(t)).otherwise(F.concat(by_pattern(t, 2), by_pattern(t, 3)))
+
+    return let(_flat(text), run)
 
 
 def train_language_model(df: DataFrame, text: str = "comment", lang: str = "lang", size: int = VOCABULARY) -> PipelineModel:
