@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from glosa.functions import text as T
 from glosa.functions import tokens as K
 from glosa.operators import language as La
+from glosa.operators import vectors as Vx
 from glosa.plans import corpus_queries
 
 ODD = [*"ab  1_.ß", "Æ", "«", "…", "é", "ж", "щ", "か", "中", "́", "ﬁ", "😀", "𝒳", "etc", " etc ", "info", "\n", " "]
@@ -57,3 +58,11 @@ def test_abbreviations_only_where_they_are(spark):
 def test_lengths_tokenise_once(spark, sf):
     plan = plan_of(corpus_queries.language_and_length_summary(spark, sf))
     assert "size(" in plan and not [x for x in plan.splitlines() if "Filter" in x and "regexp_extract_all" in x]
+
+
+def test_terms_are_sorted_without_a_comparator(spark):
+    rows = [(1, ["b", "a", "b"], "en"), (2, ["a"], "en"), (3, [], "en")]
+    found = Vx.fit_vocabulary(spark.createDataFrame(rows, "review_id long, tokens array<string>, lang string"), 3, 10)
+    assert "sort_array(" in plan_of(found) and "array_sort(" not in plan_of(found)
+    assert {r.term: (r.idx, r.total, r.df) for r in found.collect()} == {
+        "en_a": (0, 2, 2), "en_a en_b": (1, 1, 1), "en_b": (2, 2, 1), "en_b en_a": (3, 1, 1)}
