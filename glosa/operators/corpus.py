@@ -241,10 +241,11 @@ def default_games(spark: SparkSession, ranks: DataFrame, last: int = 509, top: i
 NUMBERS = ("num_reviews", "num_reviews_rated", "num_reviews_commented", "num_reviews_rated_and_commented")
 
 
-def report_counts(documents: DataFrame, pair: tuple[str, str] = ("good", "bad")) -> DataFrame:
-    """(kind, item, label, n): users, ratings, labels, tokens per label, n-grams and contexts, counted in one pass.
+def report_counts(documents: DataFrame, pair: tuple[str, str] = ("good", "bad"), kinds: tuple[str, ...] | None = None) -> DataFrame:
+    """(kind, item, label, n): users, ratings, labels, tokens per label, n-grams and contexts, all or the ``kinds`` named, counted in one pass.
 
-    All occurrences go into one aggregation, which combines map-side.
+    All occurrences go into one aggregation, which combines map-side.  The item leads the key: rows that do not fit into
+    memory are sorted by it, and few kinds would leave every comparison to the whole row.
     """
     none = F.lit(None).cast("string")
 
@@ -255,18 +256,27 @@ def report_counts(documents: DataFrame, pair: tuple[str, str] = ("good", "bad"))
         return F.transform(items, lambda item: entry(kind, item, label))
 
     lower = F.transform("tokens", F.lower)
-    parts = F.concat(
-        F.array(entry("user", F.col("username")), entry("rating", F.col("rating")), entry("label", F.col("label"))),
-        each("token", F.col("tokens"), F.col("label")), each("bigram", K.ngrams(lower, 2)), each("trigram", K.ngrams(lower, 3)),
-        each("context", K.word_contexts(F.col("tokens"), list(pair), 2)))
-    return documents.select(F.inline(parts)).groupBy("kind", "item", "label").agg(F.count(F.lit(1)).alias("n"))
+    found = {
+        "user": F.array(entry("user", F.col("username"))), "rating": F.array(entry("rating", F.col("rating"))),
+        "label": F.array(entry("label", F.col("label"))), "token": each("token", F.col("tokens"), F.col("label")),
+        "bigram": each("bigram", K.ngrams(lower, 2)), "trigram": each("trigram", K.ngrams(lower, 3)),
+        "context": each("context", K.word_contexts(F.col("tokens"), list(pair), 2)),
+    }
+    parts = F.concat(*[found[k] for k in kinds or found])
+    counted = documents.select(F.inline(parts)).groupBy("item", "label", "kind").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("kind", "item", "label", "n")
+
+
+#: Bigrams and collocations that the report shows.
+REPORT_TOP = 10
 
 
 class CorpusReport(Mapping):
     """The fixed bundle of corpus statistics, by name; a member is planned when it is asked for.
 
-    The counted members share one pass over the documents, made when the first of them is asked for and written to the
-    shared folder.  The sample, the contexts and the dispersion read the documents once each.
+    The counted members but n-grams and contexts share one pass over the documents, made when the first of them is asked
+    for and written to the shared folder.  N-grams and contexts are as many as the tokens, and only the most frequent are
+    shown: they are counted by themselves, and no others written.  The sample, the contexts and the dispersion read the documents once each.
     """
 
     def __init__(self, corpus: Corpus, word: str = "game", pair: tuple[str, str] = ("good", "bad"),
@@ -280,15 +290,15 @@ class CorpusReport(Mapping):
                 F.col("item").cast("double").alias("rating"), "n").orderBy(F.desc("n"), "rating").limit(10),
             "sample_text": lambda: corpus.raw().orderBy("game_id", "review_id").limit(5),
             "contexts": lambda: corpus.contexts(word, 3).orderBy("game_id", "review_id", "pos").limit(5),
-            "common_contexts": lambda: self._top("context", 5, "context"),
+            "common_contexts": lambda: Q.most_common(corpus.common_contexts(list(pair), 2), 5, "context"),
             "most_common": lambda: Q.most_common(self._tokens(), 15),
             "dispersion": lambda: corpus.lexical_dispersion(list(dispersed)),
             "hapaxes": lambda: self._tokens().filter("n = 1").select("token").orderBy("token").limit(20),
             "word_lengths": lambda: self._kind("token").groupBy(F.length("item").cast("bigint").alias("length")).agg(
                 F.sum("n").alias("n")).orderBy("length").limit(10),
-            "bigrams": lambda: self._top("bigram", 10),
-            "trigrams": lambda: self._top("trigram", 5),
-            "collocations": lambda: self._top("bigram", 10),
+            "bigrams": lambda: Q.most_common(self.top_bigrams, REPORT_TOP, "ngram"),
+            "trigrams": lambda: Q.most_common(corpus.trigrams(), 5, "ngram"),
+            "collocations": lambda: Q.most_common(self.top_bigrams, REPORT_TOP, "ngram"),
             "category_stats": self._categories,
             "label_distribution": lambda: self._kind("label").filter("item IS NOT NULL").select(F.col("item").alias("label"), "n"),
             "frequency": lambda: Q.most_common(self._tokens(), 30),
@@ -298,14 +308,15 @@ class CorpusReport(Mapping):
 
     @cached_property
     def counts(self) -> DataFrame:
-        return cut_lineage(report_counts(self.corpus.documents, self.pair))
+        return cut_lineage(report_counts(self.corpus.documents, self.pair, ("user", "rating", "label", "token")))
+
+    @cached_property
+    def top_bigrams(self) -> DataFrame:
+        return cut_lineage(self.corpus.collocations(REPORT_TOP))
 
     def _kind(self, kind: str) -> DataFrame:
         return self.counts.filter(F.col("kind") == kind)
 
-    def _top(self, kind: str, n: int, name: str = "ngram") -> DataFrame:
-        return Q.most_common(self._kind(kind).select(F.col("item").alias(name), "n"), n, name)
-
     def _tokens(self) -> DataFrame:
         return self._kind("token").groupBy(F.lower("item").alias("token")).agg(F.sum("n").alias("n"))
 

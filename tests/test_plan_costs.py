@@ -1,5 +1,6 @@
 """Steps that many queries share: the same results as plain rules, and no work done twice."""
 
+import math
 import random
 import re
 
@@ -66,3 +67,17 @@ def test_terms_are_sorted_without_a_comparator(spark):
     assert "sort_array(" in plan_of(found) and "array_sort(" not in plan_of(found)
     assert {r.term: (r.idx, r.total, r.df) for r in found.collect()} == {
         "en_a": (0, 2, 2), "en_a en_b": (1, 1, 1), "en_b": (2, 2, 1), "en_b en_a": (3, 1, 1)}
+
+
+def test_report_writes_no_rare_ngrams(spark, monkeypatch):
+    from glosa.operators import corpus as C
+
+    written, cut = [], C.cut_lineage
+    monkeypatch.setattr(C, "cut_lineage", lambda df: written.append(cut(df)) or written[-1])
+    words = [f"w{i}" for i in range(40)]
+    docs = spark.createDataFrame([(1, 1, "u", 7.0, "positive", words), (1, 2, "u", None, None, ["w0", "w1"])],
+                                 "game_id bigint, review_id bigint, username string, rating double, label string, tokens array<string>")
+    report = C.corpus_report(C.Corpus(docs))
+    assert report["bigrams"].collect()[0].asDict() == {"ngram": "w0 w1", "n": 2} and report["trigrams"].count() == 5
+    assert {r.token: r.n for r in report["most_common"].collect()}["w0"] == 2
+    assert not any("bigram" in str(r) for df in written for r in df.collect()) and max(df.count() for df in written) < 60
