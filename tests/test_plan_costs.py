@@ -81,3 +81,21 @@ def test_report_writes_no_rare_ngrams(spark, monkeypatch):
     assert report["bigrams"].collect()[0].asDict() == {"ngram": "w0 w1", "n": 2} and report["trigrams"].count() == 5
     assert {r.token: r.n for r in report["most_common"].collect()}["w0"] == 2
     assert not any("bigram" in str(r) for df in written for r in df.collect()) and max(df.count() for df in written) < 60
+
+
+def test_features_take_a_text_apart_once(spark):
+    from glosa.functions import features as X
+    from glosa.functions import sentiment as S
+    from glosa.functions.lexicons import Lexicon
+
+    text = "Very good game! It is not bad.  GREAT fun, einßig gut. \t ok"
+    df = spark.createDataFrame([(text,), ("",), (None,)], "comment string").withColumn("tokens", T.word_tokens(F.col("comment")))
+    made = X.extract_features(df, Lexicon())
+    assert plan_of(made).count("split(") == 1
+    alone = S.with_text_scores(df.withColumn("raw", F.coalesce("comment", F.lit(""))), "raw", Lexicon(), "s").select(
+        "comment", S.valence_scores(F.col("s")).alias("v"), T.readability(F.col("raw")).alias("r"))
+    got = {r.comment: r.features for r in made.collect()}
+    for row in alone.collect():
+        for name in ("compound", "pos", "neu", "neg"):
+            assert got[row.comment][f"vader.{name}"] == row.v[name]
+        assert got[row.comment]["readability.ease"] == row.r.ease
