@@ -7,7 +7,7 @@ count vectors row by row on the JVM, whole texts at a time.
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import CountVectorizerModel, StringIndexer
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from glosa.functions import tokens as K
 from glosa.functions.text import is_blank, let
+from glosa.operators.vectors import to_ml_vector
+from glosa.session import cut_lineage
 
 VOCABULARY = 5000
 THRESHOLD = 0.70
@@ -53,19 +55,40 @@ def character_grams(text: Column) -> Column:
     return let(_flat(text), run)
 
 
+def gram_counts(df: DataFrame, text: str, lang: str) -> DataFrame:
+    """(lang, gram, n): the n-grams of the rows with a text and a language, and under a null gram the texts of the language.
+
+    The text is looked at inside one expression: a filter on it would clean it once more.
+    """
+    none = F.array().cast("array<string>")
+    grams = let(F.col(text), lambda t: F.when(is_blank(t), none).otherwise(
+        F.concat(F.array(F.lit(None).cast("string")), character_grams(t))))
+    rows = df.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), grams.alias("grams"))
+    return rows.select("lang", F.explode(K.elements("grams")).alias("gram")).groupBy("gram", "lang").agg(F.count(F.lit(1)).alias("n"))
+
+
 def train_language_model(df: DataFrame, text: str = "comment", lang: str = "lang", size: int = VOCABULARY) -> PipelineModel:
-    """Vocabulary, language numbers and naive Bayes, fitted on the rows with a text and a language."""
-    rows = df.filter(~is_blank(F.col(text)) & F.col(lang).isNotNull()).select(
-        F.col(lang).alias("lang"), character_grams(F.col(text)).alias("grams"))
-    counted = rows.select(F.explode(K.elements("grams")).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-    known = [r.gram for r in counted.orderBy(F.desc("n"), "gram").limit(size).collect()]
+    """Vocabulary, language numbers and naive Bayes, fitted on the rows with a text and a language.
+
+    One pass over the texts counts the n-grams of every language; naive Bayes learns from sums only, so it is
+    fitted on those: a row with the counts of a language, and one without any that weighs as much as its other texts.
+    """
+    counted = cut_lineage(gram_counts(df, text, lang))
+    totals = counted.filter("gram IS NOT NULL").groupBy("gram").agg(F.sum("n").alias("n"))
+    known = [r.gram for r in totals.orderBy(F.desc("n"), "gram").limit(size).collect()]
     if not known:
         raise ValueError("no text with a language to learn from")
-    return Pipeline(stages=[
-        CountVectorizerModel.from_vocabulary(known, "grams", "counts"),
-        StringIndexer(inputCol="lang", outputCol="label_idx", stringOrderType="alphabetAsc"),
-        NaiveBayes(labelCol="label_idx", featuresCol="counts"),
-    ]).fit(rows)
+    places = df.sparkSession.createDataFrame(list(enumerate(known)), "idx int, gram string")
+    entries = counted.join(F.broadcast(places), "gram", "left").groupBy("lang").agg(
+        F.sort_array(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", F.col("n").cast("double").alias("n"))))).alias("es"),
+        F.sum(F.when(F.col("gram").isNull(), F.col("n"))).cast("double").alias("texts"))
+    summed = entries.select("lang", F.explode(F.array(
+        F.struct(F.lit(1.0).alias("weight"), F.col("es.idx").alias("i"), F.col("es.n").alias("v")),
+        F.struct((F.col("texts") - 1).alias("weight"), F.array().cast("array<int>").alias("i"), F.array().cast("array<double>").alias("v")))).alias("s"))
+    learned = cut_lineage(summed.select("lang", "s.weight", to_ml_vector(F.col("s.i"), F.col("s.v"), len(known)).alias("counts")))
+    languages = StringIndexer(inputCol="lang", outputCol="label_idx", stringOrderType="alphabetAsc").fit(learned)
+    bayes = NaiveBayes(labelCol="label_idx", featuresCol="counts", weightCol="weight").fit(languages.transform(learned))
+    return PipelineModel([CountVectorizerModel.from_vocabulary(known, "grams", "counts"), languages, bayes])
 
 
 def detect_language(model: PipelineModel, df: DataFrame, text: str = "comment", threshold: float = THRESHOLD,

@@ -99,3 +99,21 @@ def test_features_take_a_text_apart_once(spark):
         for name in ("compound", "pos", "neu", "neg"):
             assert got[row.comment][f"vader.{name}"] == row.v[name]
         assert got[row.comment]["readability.ease"] == row.r.ease
+
+
+def test_language_model_from_sums(spark):
+    texts = [("en", "the cat and the dog"), ("de", "der Hund und die Katze"), ("de", "ja"), ("fr", "x"), ("en", " "), (None, "the")]
+    model = La.train_language_model(spark.createDataFrame(texts, "lang string, comment string"), size=20)
+    vocabulary, languages, bayes = model.stages
+    docs, grams = {"en": 1, "de": 2, "fr": 1}, {}
+    for lang, text in texts:
+        if lang and text.strip():
+            low = text.lower()
+            for gram in [low[i : i + n] for n in (2, 3) for i in range(len(low) - n + 1)]:
+                grams[lang, gram] = grams.get((lang, gram), 0) + 1
+    assert languages.labels == ["de", "en", "fr"] and bayes.getWeightCol() == "weight"
+    for i, lang in enumerate(languages.labels):
+        assert abs(bayes.pi[i] - math.log((docs[lang] + 1) / (4 + 3))) < 1e-9
+        known = [grams.get((lang, g), 0) for g in vocabulary.vocabulary]
+        for j, n in enumerate(known):
+            assert abs(bayes.theta[i, j] - math.log((n + 1) / (sum(known) + len(known)))) < 1e-9
