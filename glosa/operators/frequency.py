@@ -81,10 +81,9 @@ def ngrams_across_documents(
     """
     if n <= 1:
         return ngram_counts(df, n, tokens)
-    filled = df.filter(F.size(tokens) > 0).select(
-        game, row_id, F.transform(tokens, F.lower).alias("tk"), F.lit(1).alias("one")
-    )
-    filled = cut_lineage(filled)  # read several times below
+    lowered = df.select(game, row_id, F.transform(tokens, F.lower).alias("tk"), F.lit(1).alias("one"))
+    # Read several times below; filtered behind the write, since a filter before it tokenises every text once more.
+    filled = cut_lineage(lowered).filter(F.size("tk") > 0)
     ranked = running_offset(filled, game, row_id, "one", "rank")
     lookahead = n - 1
     heads = ranked.select(

@@ -117,3 +117,14 @@ def test_language_model_from_sums(spark):
         known = [grams.get((lang, g), 0) for g in vocabulary.vocabulary]
         for j, n in enumerate(known):
             assert abs(bayes.theta[i, j] - math.log((n + 1) / (sum(known) + len(known)))) < 1e-9
+
+
+def test_tokens_are_not_made_in_a_filter(spark, monkeypatch):
+    written = []
+    from glosa.operators import frequency as Q
+
+    monkeypatch.setattr(Q, "cut_lineage", lambda df: written.append(plan_of(df)) or df)
+    rows = [(1, 1, "a b"), (1, 2, ""), (2, 3, "c")]
+    df = spark.createDataFrame(rows, "game_id bigint, review_id bigint, t string").select("game_id", "review_id", T.word_tokens(F.col("t")).alias("tokens"))
+    got = {r.ngram: r.n for r in Q.ngrams_across_documents(df, 2).collect()}
+    assert got == {"a b": 1, "b c": 1} and "Filter" not in written[0]
