@@ -128,3 +128,15 @@ def test_tokens_are_not_made_in_a_filter(spark, monkeypatch):
     df = spark.createDataFrame(rows, "game_id bigint, review_id bigint, t string").select("game_id", "review_id", T.word_tokens(F.col("t")).alias("tokens"))
     got = {r.ngram: r.n for r in Q.ngrams_across_documents(df, 2).collect()}
     assert got == {"a b": 1, "b c": 1} and "Filter" not in written[0]
+
+
+def test_cleaning_steps_are_left_out_where_they_change_nothing(spark):
+    steps = {T.strip_tags: r"<[^>]+>", T.strip_bbcode: r"\[/?[a-zA-Z]+\]", T.mask_urls: T.URL}
+    texts = [*odd_texts(), "a<b>c[x]d", "HTTP://x.y z wWw2.q", "www", "a!!!b..c??", "".join(map(chr, range(0xC0, 0x180)))]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for step, pattern in steps.items():
+        assert "contains(" in plan_of(df.select(step(F.col("t")))).lower()
+        mark = "URL" if step is T.mask_urls else " "
+        assert df.filter(step(F.col("t")) != F.regexp_replace("t", pattern, mark)).count() == 0
+    many = F.lit("".join(map(chr, range(0x4E00, 0x4E00 + T.FEW_LETTERS + 1))))  # these go the other way
+    assert df.filter(F.concat(T.transliterate(F.col("t")), many) != T.transliterate(F.concat("t", many))).count() == 0
