@@ -140,3 +140,14 @@ def test_cleaning_steps_are_left_out_where_they_change_nothing(spark):
         assert df.filter(step(F.col("t")) != F.regexp_replace("t", pattern, mark)).count() == 0
     many = F.lit("".join(map(chr, range(0x4E00, 0x4E00 + T.FEW_LETTERS + 1))))  # these go the other way
     assert df.filter(F.concat(T.transliterate(F.col("t")), many) != T.transliterate(F.concat("t", many))).count() == 0
+
+
+def test_model_rows_are_cleaned_once(spark, sf, monkeypatch):
+    from glosa.plans import model_queries as Mq
+
+    written, cut = [], Mq.cut_lineage
+    monkeypatch.setattr(Mq, "cut_lineage", lambda df: written.append(df) or cut(df))
+    rows = Mq._countable(spark, sf, 20)
+    conditions = [line for line in plan_of(written[0]).splitlines() if "Filter" in line]
+    assert not any("size(" in line for line in conditions)
+    assert rows.count() == written[0].filter("size(tokens) > 0 AND label IS NOT NULL").count()
