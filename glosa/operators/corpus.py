@@ -267,7 +267,7 @@ def report_counts(documents: DataFrame, pair: tuple[str, str] = ("good", "bad"),
     return counted.select("kind", "item", "label", "n")
 
 
-#: Bigrams and collocations that the report shows.
+#: N-grams that the report shows at most.
 REPORT_TOP = 10
 
 
@@ -297,7 +297,7 @@ class CorpusReport(Mapping):
             "word_lengths": lambda: self._kind("token").groupBy(F.length("item").cast("bigint").alias("length")).agg(
                 F.sum("n").alias("n")).orderBy("length").limit(10),
             "bigrams": lambda: Q.most_common(self.top_bigrams, REPORT_TOP, "ngram"),
-            "trigrams": lambda: Q.most_common(corpus.trigrams(), 5, "ngram"),
+            "trigrams": lambda: Q.most_common(self.top_trigrams, 5, "ngram"),
             "collocations": lambda: Q.most_common(self.top_bigrams, REPORT_TOP, "ngram"),
             "category_stats": self._categories,
             "label_distribution": lambda: self._kind("label").filter("item IS NOT NULL").select(F.col("item").alias("label"), "n"),
@@ -314,6 +314,10 @@ class CorpusReport(Mapping):
     def top_bigrams(self) -> DataFrame:
         return cut_lineage(self.corpus.collocations(REPORT_TOP))
 
+    @cached_property
+    def top_trigrams(self) -> DataFrame:
+        return cut_lineage(Q.most_common(self.corpus.trigrams(), REPORT_TOP, "ngram"))
+
     def _kind(self, kind: str) -> DataFrame:
         return self.counts.filter(F.col("kind") == kind)
 
