@@ -235,6 +235,16 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [column(batch, "g"), column(batch, "n"), *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(4))], ["g", "n", *SKETCH])
 
 
+def _crossed(members: DataFrame, info: DataFrame) -> DataFrame:
+    """Pairs of members of one node and different components that pass the sieve, each made in the least of the nodes it shares."""
+    own = members.groupBy("g").agg(F.min("root").alias("root"), F.collect_list("key").alias("keys"))
+    known = cut_lineage(own.join(info, "g").withColumn("key", F.explode("keys")))
+    x, y = known.alias("x"), known.alias("y")
+    apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.g") < F.col("y.g")) & (F.col("x.root") != F.col("y.root"))
+    first = "x.key = array_min(array_intersect(x.keys, y.keys))"
+    return x.join(y, apart & F.expr(f"{_sieve('x', 'y')} AND {first}")).select(F.col("x.g").alias("a"), F.col("y.g").alias("b"))
+
+
 class NearDuplicates:
     """Rows of ``docs`` with their sets, and the component of every set."""
 
@@ -280,19 +290,13 @@ class NearDuplicates:
             return cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(
                 lambda batches: _confirm(batches, width, PERCENT), "a bigint, b bigint"))
 
-        def crossed(members: DataFrame) -> DataFrame:
-            known = cut_lineage(members.join(info, "g"))
-            x, y = known.alias("x"), known.alias("y")
-            apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.g") < F.col("y.g")) & (F.col("x.root") != F.col("y.root"))
-            return x.join(y, apart & F.expr(_sieve("x", "y"))).select(F.col("x.g").alias("a"), F.col("y.g").alias("b"))
-
         early = [place for place, (tree, _, _) in enumerate(paths()[FIRST - 1]) if tree < EARLY]
         links = confirmed(_stars(nodes.where(F.col("path").isin(early)).withColumn("root", F.col("g"))))
         roots = components(links).toDF("g", "root")
         for level in range(FIRST, DEPTH + 1):
             members = _open(nodes, roots)
             large = F.col("members") > (SMALL if level < DEPTH else 1 << 62)
-            found = confirmed(crossed(members.where(~large)).unionByName(_stars(members.where(large))))
+            found = confirmed(_crossed(members.where(~large), info).unionByName(_stars(members.where(large))))
             if not found.isEmpty():
                 links = links.unionByName(found)
                 roots = components(links).toDF("g", "root")

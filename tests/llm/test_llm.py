@@ -85,6 +85,15 @@ def test_suffixes(docs, monkeypatch, group):
     assert sorted(mine, key=repr) == sorted(want, key=repr)
 
 
+def test_near_duplicate_pairs_come_once(spark):
+    """Two sets that share three nodes are one pair, not three; sets of one component are none."""
+    members = spark.createDataFrame(
+        [(p, k, g, 3, root) for p, k in enumerate((-5, 7, 9)) for g, root in ((1, 1), (2, 2), (3, 2))] + [(3, 11, 1, 2, 1), (3, 11, 4, 2, 4)],
+        "path int, key bigint, g bigint, members bigint, root bigint")
+    info = spark.createDataFrame([(g, 10, 0, 0, 0, 0) for g in range(1, 5)], "g bigint, n bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    assert sorted((r.a, r.b) for r in neardup._crossed(members, info).collect()) == [(1, 2), (1, 3), (1, 4)]
+
+
 def test_suffixes_of_nothing_and_whole_characters(spark, empty):
     assert suffixes.remove_repeats(empty).count() == 0
     two = spark.createDataFrame([(1, "é" * 150 + "a"), (2, "b" + "é" * 150)], "doc_id bigint, text string")

@@ -419,3 +419,27 @@ def test_report_counts_once_and_lazily(spark, tmp_path):
     assert stats == {"positive": (3, 2)}
     plan = report["trigrams"]._jdf.queryExecution().optimizedPlan().toString()
     assert "LogicalRDD" not in plan  # the documents are not read again
+
+
+# --------------------------------------------------------------------- session
+def test_a_written_result_leaves_no_shuffle_files(spark):
+    """The files of the shuffles before a write are gone with it, and the session's setting is as it was."""
+    import time
+
+    from glosa import session
+
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+
+    def files():
+        found = env.blockManager().diskBlockManager().getAllFiles()
+        return {name for name in (found.apply(i).getName() for i in range(found.size())) if name.startswith("shuffle_")}
+
+    before = files()
+    out = session.cut_lineage(spark.range(5000).groupBy((F.col("id") % 7).alias("k")).count())
+    for _ in range(50):
+        if files() <= before:
+            break
+        time.sleep(0.1)
+    assert files() <= before
+    assert spark.conf.get(session.CLEANUP, "false") == "false"
+    assert sorted(r["count"] for r in out.collect()) == [714] * 5 + [715] * 2
