@@ -13,7 +13,7 @@ from glosa.plans import oracle_parts as P
 from glosa.plans import views as V
 from glosa.plans.corpus_queries import META
 from glosa.plans.registry import query
-from glosa.session import scratch_dir
+from glosa.session import cut_lineage, scratch_dir
 from glosa.sources import arrays, markup, readers, writers
 from glosa.sources.store import ReviewStore, upsert_stats
 from glosa.streaming import ingest
@@ -158,8 +158,9 @@ def corpus_json_roundtrip(spark, sf):
     path = scratch_dir(spark, "corpus")
     writers.write_corpus(docs, metadata, path, per_record=4)
     games, back = readers.read_corpus(spark, path)
-    items = games.select(
-        "game_id", F.col("game_info.name").alias("name"), "rankings.overall_rank", F.col("stats.num_reviews").alias("num_reviews"))
+    # Written, so that its size is known: items that fit a broadcast leave the texts where they are.
+    items = cut_lineage(games.select(
+        "game_id", F.col("game_info.name").alias("name"), "rankings.overall_rank", F.col("stats.num_reviews").alias("num_reviews")))
     return back.join(items, "game_id").select(
         "game_id", "review_id", "seq", "username", "rating", "ts", "label", "comment", "clean_text", "lang",
         F.size("tokens").cast("bigint").alias("n_tokens"), "name", "overall_rank", "num_reviews")

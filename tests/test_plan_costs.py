@@ -151,3 +151,34 @@ def test_model_rows_are_cleaned_once(spark, sf, monkeypatch):
     conditions = [line for line in plan_of(written[0]).splitlines() if "Filter" in line]
     assert not any("size(" in line for line in conditions)
     assert rows.count() == written[0].filter("size(tokens) > 0 AND label IS NOT NULL").count()
+
+
+def test_running_offsets_shuffle_the_rows_once(spark):
+    """The join with the starts of blocks and the window inside them share one shuffle; null groups count like others."""
+    from glosa.operators.skew import running_offset
+
+    rows = spark.createDataFrame(
+        [(g, i, 1, "text") for i, g in enumerate([1, 1, None, 2, None, 1])], "g bigint, id bigint, v bigint, t string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = running_offset(rows, "g", "id", "v", "o", per_group=True)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 4  # the rows, the blocks, their groups, the starts
+        assert sorted((r.id, r.o) for r in found.collect()) == [(0, 0), (1, 1), (2, 0), (3, 0), (4, 1), (5, 2)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_corpus_records_are_shuffled_as_json(spark):
+    """Nested rows take more room in a shuffle than their JSON: the records are one text each."""
+    from glosa.sources import writers
+
+    docs = spark.createDataFrame([(1, i, "u", 1.0, 'a "b"\n}') for i in (2, 0, 1)], "game_id bigint, review_id bigint, username string, rating double, comment string")
+    games = spark.createDataFrame([(1, "n")], "game_id bigint, name string")
+    lines = writers.corpus_records(docs, games, per_record=2)
+    assert lines.columns == ["value"]
+    read = spark.read.json(lines.rdd.map(lambda r: r.value)).collect()
+    found = sorted((r["first"], [x.review_id for x in r.reviews], {x.raw_text for x in r.reviews}) for r in read if r.reviews)
+    assert found == [(0, [0, 1], {'a "b"\n}'}), (2, [2], {'a "b"\n}'})]
+    assert [(r.game_id, r.metadata.name) for r in read if r.metadata] == [(1, "n")]
