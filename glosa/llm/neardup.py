@@ -14,10 +14,10 @@ component is compared again: first the members of the nodes of two trees are com
 member, which joins nearly all groups of copies with a few comparisons per member.  From then on
 only nodes that still hold several components count.  In small ones all pairs of different components are
 compared; in larger ones every member of another component is compared with the least member, and those still
-open after that go down a level.  At ``DEPTH`` levels all pairs of different components are compared, whatever the
-size of the node: its members agree on so many coordinates that few can be left.  No node, group or list of partners is cut off.
+open after that go down a level, as long as that leaves fewer comparisons.  Where it does not pay, and at ``DEPTH``
+levels, all pairs of different components are compared, whatever the size of the node.  No node, group or list of partners is cut off.
 
-Before texts are fetched, pairs are sieved by set sizes (exact), by a sketch of four bits of each of the 64
+Before texts are fetched, pairs are sieved by set sizes and by a sketch of 512 parities (both exact), by a sketch of four bits of each of the 64
 coordinates, whose bound lies 5 standard deviations above the threshold, and pairs compared before are left out.
 
 Defined results: null or white-space text is an empty set, linked with nothing; a
@@ -29,7 +29,7 @@ passed on by ``keep_one`` and ignored otherwise.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache, reduce
 
 import numpy as np
@@ -40,12 +40,14 @@ from pyspark.sql import functions as F
 from glosa.llm.buffers import LIMIT, Rolling, Words, column, mix, row_ranges, utf8
 from glosa.llm.components import components
 from glosa.llm.tables import bucketed, fresh, named_rows, quoted
-from glosa.session import cut_lineage
+from glosa.session import cut_lineage, stages_removed
 
 COORDINATES = 64
 TREES = 14
 FIRST, DEPTH = 3, 10
 SMALL = 16
+#: The descent ends where a level leaves over three quarters of the comparisons in large nodes, or a few for each set.
+PAYS, FEW = 0.75, 4
 #: Trees whose nodes are compared with their least members before anything else.
 EARLY = 2
 #: Marks of wanted texts, which are broadcast: at most so many numbers.
@@ -54,6 +56,8 @@ PERCENT = 80
 #: Differing coordinates of a sketch: 12 expected at the threshold, deviation 3.1.
 SKETCH_DIFFER = 28
 SKETCH = [f"s{i}" for i in range(4)]
+#: Words of the parity sketch: bit h tells whether an odd number of a set's shingles fall on h.
+PARITY = [f"p{i}" for i in range(8)]
 
 
 class Sets:
@@ -90,8 +94,21 @@ class Sets:
         self.size = np.diff(self.bounds)
 
 
+def _parities(sets: Sets) -> np.ndarray:
+    """One row of 64 bytes per document: the parity of its shingles on every bit."""
+    width = 64 * len(PARITY)
+    out = np.zeros((len(sets.size), width // 8), np.uint8)
+    for at in range(0, len(out), 2048):
+        size = sets.size[at : at + 2048]
+        values = sets.values[sets.bounds[at] : sets.bounds[at + len(size)]]
+        place = np.repeat(np.arange(len(size)), size) * width + (values & np.uint64(width - 1)).astype(np.int64)
+        counts = np.bincount(place, minlength=len(size) * width).reshape(len(size), width)
+        out[at : at + len(size)] = np.packbits((counts & 1).astype(np.uint8), axis=1)
+    return out
+
+
 def _signatures(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, u, v, text) -> (doc_id, u, v, n, gid, mins); gid names the set by 128 bits."""
+    """(doc_id, u, v, text) -> (doc_id, u, v, n, gid, mins, odd); gid names the set by 128 bits."""
     rolling = Rolling(21, LIMIT)
     factors = np.random.default_rng(22).integers(1 << 62, size=COORDINATES, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
     for batch in batches:
@@ -111,8 +128,9 @@ def _signatures(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_arrays(
                 [*(c.slice(i, j - i) for c in batch.columns[:3]), pa.array(sets.size.astype(np.int64)),
                  pa.array([None if e else x.tobytes() for x, e in zip(names, empty)], pa.binary()),
-                 pa.array([None if e else x.tobytes() for x, e in zip(least, empty)], pa.binary())],
-                ["doc_id", "u", "v", "n", "gid", "mins"])
+                 pa.array([None if e else x.tobytes() for x, e in zip(least, empty)], pa.binary()),
+                 pa.array([None if e else x.tobytes() for x, e in zip(_parities(sets), empty)], pa.binary())],
+                ["doc_id", "u", "v", "n", "gid", "mins", "odd"])
 
 
 @cache
@@ -182,7 +200,7 @@ def _next_nodes(batches: Iterable[pa.RecordBatch], level: int) -> Iterator[pa.Re
 def _shared(rows: DataFrame) -> DataFrame:
     """(path, key, g, members) of the nodes with at least two members."""
     counts = cut_lineage(rows.groupBy("key").agg(F.count("*").alias("members")).where("members > 1"))
-    return cut_lineage(rows.join(counts, "key").select("path", "key", "g", "members"))
+    return rows.join(counts, "key").select("path", "key", "g", "members")
 
 
 def _open(nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -218,21 +236,27 @@ def _confirm(batches: Iterable[pa.RecordBatch], width: int, percent: int) -> Ite
         yield pa.RecordBatch.from_arrays([column(batch, "a").take(at), column(batch, "b").take(at)], ["a", "b"])
 
 
-def _sieve(x: str, y: str) -> str:
-    """Necessary size condition and the sketch bound for two vertices."""
+def _sieve(x: str, y: str, info: DataFrame) -> str:
+    """Necessary conditions on sizes and on parities, where ``info`` has them, and the sketch bound for two vertices.
+
+    A shingle in one set alone turns one bit, so no more bits differ than shingles do.
+    """
+    odd = [f"bit_count({x}.{p} ^ {y}.{p})" for p in PARITY if p in info.columns] or ["0"]
     apart = [f"({x}.{s} ^ {y}.{s})" for s in SKETCH]
     folded = [f"bit_count(({d} | shiftright({d}, 1) | shiftright({d}, 2) | shiftright({d}, 3)) & 1229782938247303441L)" for d in apart]
-    return f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n) AND {' + '.join(folded)} <= {SKETCH_DIFFER}"
+    return f"100 * least({x}.n, {y}.n) >= {PERCENT} * greatest({x}.n, {y}.n) AND {100 + PERCENT} * ({' + '.join(odd)}) <= {100 - PERCENT} * ({x}.n + {y}.n) AND {' + '.join(folded)} <= {SKETCH_DIFFER}"
 
 
 def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(g, n, mins) -> (g, n) and the low four bits of every coordinate, sixteen to a word."""
+    """(g, n, mins, odd) -> (g, n), the low four bits of every coordinate, sixteen to a word, and the words of parities."""
     shifts = np.uint64(4) * np.arange(16, dtype=np.uint64)
     for batch in batches:
         bits = (_mins(column(batch, "mins")) & np.uint32(15)).astype(np.uint64).reshape(-1, 4, 16)
         words = np.bitwise_or.reduce(bits << shifts, axis=2).view(np.int64)
+        odd = utf8(column(batch, "odd"))[0].view(np.int64).reshape(-1, len(PARITY))
+        both = np.concatenate((words, odd), axis=1)
         yield pa.RecordBatch.from_arrays(
-            [column(batch, "g"), column(batch, "n"), *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(4))], ["g", "n", *SKETCH])
+            [column(batch, "g"), column(batch, "n"), *(pa.array(np.ascontiguousarray(w)) for w in both.T)], ["g", "n", *SKETCH, *PARITY])
 
 
 def _crossed(members: DataFrame, info: DataFrame) -> DataFrame:
@@ -242,7 +266,7 @@ def _crossed(members: DataFrame, info: DataFrame) -> DataFrame:
     x, y = known.alias("x"), known.alias("y")
     apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.g") < F.col("y.g")) & (F.col("x.root") != F.col("y.root"))
     first = "x.key = array_min(array_intersect(x.keys, y.keys))"
-    return x.join(y, apart & F.expr(f"{_sieve('x', 'y')} AND {first}")).select(F.col("x.g").alias("a"), F.col("y.g").alias("b"))
+    return x.join(y, apart & F.expr(f"{_sieve('x', 'y', info)} AND {first}")).select(F.col("x.g").alias("a"), F.col("y.g").alias("b"))
 
 
 class NearDuplicates:
@@ -254,20 +278,27 @@ class NearDuplicates:
             quoted(key).cast("bigint").alias("doc_id"), F.xxhash64(quoted(key), quoted(text)).alias("u"),
             F.hash(quoted(text), quoted(key)).alias("v"), quoted(text).alias("text"))
         self.signed = cut_lineage(self.rows.mapInArrow(
-            lambda b: _signatures(b, width), "doc_id bigint, u bigint, v int, n bigint, gid binary, mins binary"))
+            lambda b: _signatures(b, width), "doc_id bigint, u bigint, v int, n bigint, gid binary, mins binary, odd binary"))
         grouped = self.signed.where("gid IS NOT NULL").groupBy("gid").agg(
-            F.min("doc_id").alias("least"), F.min(F.struct("u", "v")).alias("row"), F.max("n").alias("n"), F.max("mins").alias("mins"))
+            F.min("doc_id").alias("least"), F.min(F.struct("u", "v")).alias("row"), F.max("n").alias("n"), F.max("mins").alias("mins"),
+            F.max("odd").alias("odd"))
         # Short numbers for the sets, fixed by writing them.
         self.groups = cut_lineage(grouped.withColumn("g", F.monotonically_increasing_id()))
 
     def roots(self) -> DataFrame:
         """(g, root) of the sets that are linked to a lesser one."""
+        with stages_removed(self.groups.sparkSession) as keep:
+            return keep(self._roots())
+
+    def _roots(self) -> DataFrame:
+        spark = self.groups.sparkSession
         # Three elements against four are below the threshold: such sets are linked to equals only.
         sets = self.groups.where("n > 3")
-        nodes = _shared(sets.select("g", "mins").mapInArrow(_first_nodes, NODE_FIELDS))
+        with stages_removed(spark) as keep:
+            nodes = keep(_shared(sets.select("g", "mins").mapInArrow(_first_nodes, NODE_FIELDS)))
         # Both are joined level after level: they lie in buckets, so only the pairs move.
-        info = bucketed(sets.select("g", "n", "mins").mapInArrow(
-            _sketch, "g bigint, n bigint, " + ", ".join(f"{s} bigint" for s in SKETCH)), "g")
+        info = bucketed(sets.select("g", "n", "mins", "odd").mapInArrow(
+            _sketch, "g bigint, n bigint, " + ", ".join(f"{s} bigint" for s in [*SKETCH, *PARITY])), "g")
         coordinates = bucketed(sets.select("g", "mins"), "g")
         wanted = cut_lineage(sets.select("g", "row.*").join(nodes.select("g").distinct(), "g"))
         # Most texts are in no shared node: a mark per hash, of a bounded number, leaves them out before the shuffle.
@@ -275,36 +306,44 @@ class NearDuplicates:
         marks = F.broadcast(cut_lineage(wanted.select(mark).distinct()))
         some = self.rows.select("u", "v", "text", mark).join(marks, "mark", "left_semi")
         texts = bucketed(some.join(wanted, ["u", "v"]).select("g", "text").dropDuplicates(["g"]), "g")
-        width = self.width
+        width, few = self.width, FEW * wanted.count()
 
         seen: list[DataFrame] = []
 
-        def confirmed(pairs: DataFrame) -> DataFrame:
+        def confirmed(pairs: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
             x, y = info.alias("x"), info.alias("y")
             new = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
             if seen:
                 new = new.join(reduce(DataFrame.unionByName, seen), ["a", "b"], "left_anti")
-            near = cut_lineage(new.join(x, F.col("a") == F.col("x.g")).join(y, F.col("b") == F.col("y.g")).where(F.expr(_sieve("x", "y"))).select("a", "b"))
+            near = keep(new.join(x, F.col("a") == F.col("x.g")).join(y, F.col("b") == F.col("y.g")).where(F.expr(_sieve("x", "y", info))).select("a", "b"))
             seen.append(near)
             both = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
             return cut_lineage(both.select("a", "b", "text_a", "text_b").mapInArrow(
                 lambda batches: _confirm(batches, width, PERCENT), "a bigint, b bigint"))
 
         early = [place for place, (tree, _, _) in enumerate(paths()[FIRST - 1]) if tree < EARLY]
-        links = confirmed(_stars(nodes.where(F.col("path").isin(early)).withColumn("root", F.col("g"))))
-        roots = components(links).toDF("g", "root")
+        with stages_removed(spark) as keep:
+            links = confirmed(_stars(nodes.where(F.col("path").isin(early)).withColumn("root", F.col("g"))), keep)
+            roots = keep(components(links).toDF("g", "root"))
+        before = float("inf")
         for level in range(FIRST, DEPTH + 1):
-            members = _open(nodes, roots)
-            large = F.col("members") > (SMALL if level < DEPTH else 1 << 62)
-            found = confirmed(_crossed(members.where(~large), info).unionByName(_stars(members.where(large))))
-            if not found.isEmpty():
-                links = links.unionByName(found)
-                roots = components(links).toDF("g", "root")
-            below = _open(members.where(large).drop("root"), roots)
-            if below.isEmpty():
-                break
-            children = below.select("path", "g").distinct().join(coordinates, "g").select("path", "g", "mins")
-            nodes = _shared(children.mapInArrow(lambda batches, level=level: _next_nodes(batches, level), NODE_FIELDS))
+            with stages_removed(spark) as keep:
+                members = _open(nodes, roots)
+                large = F.col("members") > SMALL
+                # Each row stands for its node's members, so this bounds the comparisons in all large nodes.
+                compared = members.where(large).agg(F.sum("members")).first()[0] or 0
+                last = level == DEPTH or compared <= few or compared > PAYS * before
+                before = compared
+                pairs = _crossed(members if last else members.where(~large), info)
+                found = confirmed(pairs if last else pairs.unionByName(_stars(members.where(large))), keep)
+                if not found.isEmpty():
+                    # The roots stand for all links found before.
+                    roots = keep(components(found.unionByName(roots.toDF("a", "b"))).toDF("g", "root"))
+                if last:
+                    break
+                below = _open(members.where(large).drop("root"), roots)
+                children = below.select("path", "g").distinct().join(coordinates, "g").select("path", "g", "mins")
+                nodes = keep(_shared(children.mapInArrow(lambda batches, level=level: _next_nodes(batches, level), NODE_FIELDS)))
         return roots
 
     def labels(self) -> DataFrame:

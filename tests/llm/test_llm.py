@@ -94,6 +94,37 @@ def test_near_duplicate_pairs_come_once(spark):
     assert sorted((r.a, r.b) for r in neardup._crossed(members, info).collect()) == [(1, 2), (1, 3), (1, 4)]
 
 
+def test_near_duplicates_leave_no_stages(spark):
+    """What only the search for links wrote is gone with it, and the result can still be read."""
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    words = [f"w{k}" for k in range(60)]
+    rows = [(i, " ".join([*words[:50], *(f"x{i}y{k}" for k in range(i % 3))])) for i in range(30)] + [(40, "other words here " * 3), (41, None)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), width=2)
+    left = set(os.listdir(shared)) - before
+    assert {r.doc_id: r.component_id for r in found.collect()} == {**dict.fromkeys(range(30), 0), 40: 40, 41: 41}
+    assert len(left) <= 6
+
+
+def test_parities_differ_by_no_more_bits_than_shingles(spark):
+    """Sets a fraction over the threshold pass the sieve, sets that the minima alone let through do not."""
+    rng = np.random.default_rng(5)
+    same, one, two = (rng.integers(0, 1 << 62, n).astype(np.uint64) for n in (300, 37, 37))
+    def odd(*parts):
+        sets = object.__new__(neardup.Sets)
+        sets.values = np.concatenate(parts)
+        sets.size = np.array([len(sets.values)])
+        sets.bounds = np.array([0, len(sets.values)])
+        return neardup._parities(sets)[0].view(np.int64).tolist()
+
+    names = [*neardup.SKETCH, *neardup.PARITY]
+    members = spark.createDataFrame([(0, 7, g, 3, g) for g in (1, 2, 3)], "path int, key bigint, g bigint, members bigint, root bigint")
+    info = spark.createDataFrame(
+        [(1, 337, 0, 0, 0, 0, *odd(same, one)), (2, 337, 0, 0, 0, 0, *odd(same, two)), (3, 337, 0, 0, 0, 0, *odd(same[:220], one, rng.integers(0, 1 << 62, 80).astype(np.uint64)))],
+        "g bigint, n bigint, " + ", ".join(f"{n} bigint" for n in names))
+    assert [(r.a, r.b) for r in neardup._crossed(members, info).collect()] == [(1, 2)]
+
+
 def test_suffixes_of_nothing_and_whole_characters(spark, empty):
     assert suffixes.remove_repeats(empty).count() == 0
     two = spark.createDataFrame([(1, "é" * 150 + "a"), (2, "b" + "é" * 150)], "doc_id bigint, text string")
