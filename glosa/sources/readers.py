@@ -116,5 +116,5 @@ def read_corpus(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """One JSON record per line, splittable."""
+    """One JSON record per line; splittable unless the files are compressed."""
     return _or_empty(spark, schema, lambda: spark.read.schema(schema).json(path))

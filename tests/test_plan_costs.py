@@ -170,6 +170,21 @@ def test_running_offsets_shuffle_the_rows_once(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_a_corpus_is_compressed_and_leaves_no_shuffle_files(spark, tmp_path, monkeypatch):
+    from glosa import session
+    from glosa.sources import readers, writers
+
+    docs = spark.range(300).selectExpr("id % 7 AS game_id", "id AS review_id", "concat('u', id) AS username", "1D AS rating", "repeat('text ', 50) AS comment")
+    games = spark.range(7).selectExpr("id AS game_id", "named_struct('name', 'n') AS game_info")
+    seen, text = [], type(docs.write).text
+    monkeypatch.setattr(type(docs.write), "text", lambda self, *a, **k: seen.append(spark.conf.get(session.CLEANUP)) or text(self, *a, **k))
+    writers.write_corpus(docs, games, str(tmp_path / "c"), per_record=4)
+    files = [f for f in (tmp_path / "c").iterdir() if f.name.startswith("part-")]
+    assert files and all(f.name.endswith(".gz") for f in files) and sum(f.stat().st_size for f in files) < 300 * 250 / 3
+    assert seen == ["true"]
+    assert readers.read_corpus(spark, str(tmp_path / "c"))[1].count() == 300
+
+
 def test_corpus_records_are_shuffled_as_json(spark):
     """Nested rows take more room in a shuffle than their JSON: the records are one text each."""
     from glosa.sources import writers
